@@ -1,0 +1 @@
+"""Empty on purpose: every load is a full batch refresh, so there is no streaming operator to offer."""
