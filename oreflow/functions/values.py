@@ -9,7 +9,11 @@ MONEY = "decimal(10,2)"
 OPEN_END = "9999-12-31"
 
 # Fixed pattern: a decimal number, optionally signed and with an exponent.
-NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\z"
+
+# Fixed patterns: an ISO day with an optional time, and month/day/year.
+ISO_MOMENT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}([.][0-9]+)?)?)?\z"
+US_DATE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}\z"
 
 
 def to_int(c: Column) -> Column:
@@ -30,6 +34,14 @@ def to_number(c: Column) -> Column:
     return F.when(F.trim(c).rlike(NUMBER), F.trim(c).try_cast("double"))
 
 
+def to_moment(c: Column) -> Column:
+    """Timestamp for text that looks like one; the patterns keep out bare years, times and numbers."""
+    c = F.trim(c)
+    return F.when(c.rlike(ISO_MOMENT), c.try_cast("timestamp")).when(
+        c.rlike(US_DATE), F.try_to_timestamp(c, F.lit("M/d/yyyy"))
+    )
+
+
 def compact_date(c: Column) -> Column:
     """``yyyymmdd`` text to date; any other length or an impossible day is NULL."""
     iso = F.concat_ws("-", F.left(c, F.lit(4)), F.substring(c, 5, 2), F.substring(c, 7, 2))

@@ -6,13 +6,15 @@ aggregated before it is shuffled or joined, so one key with very many rows costs
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from oreflow.functions.values import flag_rate
-from oreflow.schemas import Layer, Reference, width_of
+from oreflow.schemas import Layer, Reference, declared_widths
 
 NULL_KEY, DUPLICATE_KEY, REFERENCE, WIDTH = "null_key", "duplicate_key", "reference", "width"
 
@@ -26,20 +28,40 @@ class ValidationFailed(Exception):
         super().__init__(f"{layer}: " + "; ".join(f"{f['check']} {f['table']}({f['columns']})" for f in failed))
 
 
-def _as_results(counts: DataFrame, check: str, table: str, other: str | None = None) -> DataFrame:
+def _as_results(counts: DataFrame, check: str, table: str, other: str | None, columns: str) -> DataFrame:
     return counts.select(
         F.lit(check).alias("check"),
         F.lit(table).alias("table"),
         F.lit(other).cast("string").alias("other_table"),
-        F.col("columns"),
+        F.lit(columns).alias("columns"),
         F.col("violations").cast("bigint").alias("violations"),
     )
 
 
-def null_keys(df: DataFrame, table: str, keys: tuple[str, ...]) -> DataFrame:
-    """Rows without a key value, one result per key column, one scan for all."""
-    counted = df.agg(*[F.count_if(F.col(k).isNull()).alias(k) for k in keys])
-    return _as_results(counted.unpivot([], list(keys), "columns", "violations"), NULL_KEY, table)
+def row_checks(df: DataFrame, table: str, keys: Iterable[str] = (), widths: dict[str, int] | None = None) -> DataFrame:
+    """Rows without a key value and texts beyond their width: all of a table's in one scan."""
+    tests = [(NULL_KEY, k, F.col(k).isNull()) for k in keys]
+    tests += [(WIDTH, c, F.length(c) > w) for c, w in (widths or {}).items()]
+    counted = df.agg(*[F.count_if(broken).alias(f"_{i}") for i, (_, _, broken) in enumerate(tests)])
+    results = [
+        F.struct(
+            F.lit(check).alias("check"),
+            F.lit(table).alias("table"),
+            F.lit(None).cast("string").alias("other_table"),
+            F.lit(column).alias("columns"),
+            F.col(f"_{i}").alias("violations"),
+        )
+        for i, (check, column, _) in enumerate(tests)
+    ]
+    return counted.select(F.inline(F.array(*results)))
+
+
+def null_keys(df: DataFrame, table: str, keys: Iterable[str]) -> DataFrame:
+    return row_checks(df, table, keys)
+
+
+def width_check(df: DataFrame, table: str, schema: StructType) -> DataFrame:
+    return row_checks(df, table, widths=declared_widths(schema))
 
 
 def duplicate_keys(df: DataFrame, keys: list[str] | tuple[str, ...]) -> DataFrame:
@@ -49,7 +71,7 @@ def duplicate_keys(df: DataFrame, keys: list[str] | tuple[str, ...]) -> DataFram
 
 def duplicate_key_check(df: DataFrame, table: str, keys: tuple[str, ...]) -> DataFrame:
     counted = duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("violations"))
-    return _as_results(counted.withColumn("columns", F.lit(",".join(keys))), DUPLICATE_KEY, table)
+    return _as_results(counted, DUPLICATE_KEY, table, None, ",".join(keys))
 
 
 def orphan_keys(source: DataFrame, target: DataFrame, ref: Reference) -> DataFrame:
@@ -66,7 +88,7 @@ def orphan_keys(source: DataFrame, target: DataFrame, ref: Reference) -> DataFra
 
 def reference_check(source: DataFrame, target: DataFrame, ref: Reference) -> DataFrame:
     missing = orphan_keys(source, target, ref).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations"))
-    return _as_results(missing.withColumn("columns", F.lit(str(ref))), REFERENCE, ref.source, ref.target)
+    return _as_results(missing, REFERENCE, ref.source, ref.target, str(ref))
 
 
 def orphan_rows(source: DataFrame, target: DataFrame, ref: Reference) -> DataFrame:
@@ -77,25 +99,15 @@ def orphan_rows(source: DataFrame, target: DataFrame, ref: Reference) -> DataFra
     return source.join(known, F.col(ref.column) == F.col("_known"), "left_anti")
 
 
-def width_check(df: DataFrame, table: str, schema) -> DataFrame | None:
-    """Text longer than its declared width, one result per declared column."""
-    widths = {f.name: width_of(f) for f in schema if width_of(f)}
-    if not widths:
-        return None
-    counted = df.agg(*[F.count_if(F.length(c) > w).alias(c) for c, w in widths.items()])
-    return _as_results(counted.unpivot([], list(widths), "columns", "violations"), WIDTH, table)
-
-
 def constraint_report(layer: Layer, tables: dict[str, DataFrame]) -> DataFrame:
     """All checks the contract declares for a layer."""
-    results = []
-    for name, keys in layer.keys.items():
-        results += [null_keys(tables[name], name, keys), duplicate_key_check(tables[name], name, keys)]
-    for ref in layer.references:
-        results.append(reference_check(tables[ref.source], tables[ref.target], ref))
-    for name, schema in layer.tables.items():
-        results.append(width_check(tables[name], name, schema))
-    return reduce(DataFrame.unionAll, [r for r in results if r is not None])
+    results = [
+        row_checks(tables[name], name, layer.keys.get(name, ()), declared_widths(schema))
+        for name, schema in layer.tables.items()
+    ]
+    results += [duplicate_key_check(tables[name], name, keys) for name, keys in layer.keys.items()]
+    results += [reference_check(tables[ref.source], tables[ref.target], ref) for ref in layer.references]
+    return reduce(DataFrame.unionAll, results)
 
 
 def _verdict(failed, good: str, bad: str):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from oreflow.functions.text import joined
-from oreflow.functions.values import to_number
+from oreflow.functions.values import to_moment, to_number
 
 # The texts a delimited file uses for "no value".
 NULL_TOKENS = (
@@ -66,7 +66,7 @@ def column_metrics(counts: DataFrame) -> DataFrame:
         "n",
         F.length("value").alias("length"),
         to_number(value).alias("number"),
-        value.try_cast("timestamp").isNotNull().alias("is_date"),
+        to_moment(value).isNotNull().alias("is_date"),
     )
     number = F.col("number")
     totals = judged.groupBy("column").agg(

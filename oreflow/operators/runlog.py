@@ -75,10 +75,14 @@ def failure_message(step: Column, message: Column) -> Column:
     return F.concat(F.lit("Step failed: "), F.coalesce(step, F.lit("")), F.lit(" | "), F.coalesce(message, F.lit("")))
 
 
+def now() -> datetime.datetime:
+    return datetime.datetime.now(datetime.timezone.utc)
+
+
 def append(spark: SparkSession, path: str, events: list[dict]) -> None:
     """Add events (dicts over the RUN_EVENTS columns) to the log; their time is now."""
-    now = datetime.datetime.now()
-    rows = [tuple({"event_time": now, **e}.get(f.name) for f in RUN_EVENTS) for e in events]
+    moment = now()
+    rows = [tuple({"event_time": moment, **e}.get(f.name) for f in RUN_EVENTS) for e in events]
     spark.createDataFrame(rows, RUN_EVENTS).coalesce(1).write.mode("append").parquet(path)
 
 

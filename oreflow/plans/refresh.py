@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import datetime
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,17 +59,17 @@ class Refresh:
 
         Row counts come from the written files' footers: exact also after retried tasks.
         """
-        name, began = f"{layer.name}.load_{table}", datetime.datetime.now()
+        name, began = f"{layer.name}.load_{table}", runlog.now()
         self.log(layer.name, {"step": name, "started_at": began, "status": runlog.STARTED})
         try:
             written = self.warehouse.write(layer, table, build(), self.run_id, cluster_by)
-            counts = {"rows_read": rows_read.count(), "rows_written": written.count()} if rows_read else {}
+            counts = {"rows_read": rows_read.count(), "rows_written": written.count()} if rows_read is not None else {}
         except Exception as error:
             self.log(
                 layer.name,
                 {
                     "step": name,
-                    "ended_at": datetime.datetime.now(),
+                    "ended_at": runlog.now(),
                     "status": runlog.FAILED,
                     "error_class": runlog.exception_class(error),
                     "error_message": f"Step failed: {name} | {error}",
@@ -77,7 +77,7 @@ class Refresh:
             )
             raise
         self.log(
-            layer.name, {"step": name, "ended_at": datetime.datetime.now(), "status": runlog.SUCCESS, **counts}
+            layer.name, {"step": name, "ended_at": runlog.now(), "status": runlog.SUCCESS, **counts}
         )
 
     def expect_loaded(self, layer: Layer) -> None:
@@ -99,43 +99,35 @@ class Refresh:
                 self.step(BRONZE, table, lambda t=table, s=schema: delimited.read_delimited(spark, files[t], s))
 
     def check_bronze(self, source: str) -> None:
-        """Lines in the files against rows in the tables, and text within its width."""
-        spark = self.warehouse.spark
-        lines = delimited.source_line_counts(spark, source).groupBy("table").agg(F.sum("rows").alias("rows"))
-        loaded = [r["table"] for r in lines.select("table").collect() if r["table"] in BRONZE.tables]
-        tables = {t: self.warehouse.read(BRONZE, t, self.run_id) for t in loaded}
-        counts = None
-        for name, df in tables.items():
-            one = row_count(df, name)
-            counts = one if counts is None else counts.union(one)
-        missing = [(t, None) for t in BRONZE.tables if t not in tables]
-        declared = spark.createDataFrame(missing, "table string, rows bigint")
-        counts = declared if counts is None else counts.union(declared)
-        compared = reconcile(
-            lines, counts, ["table"], F.col("rows"), F.coalesce("rows", F.lit(0))
-        ).collect()
-        widths = checks.constraint_report(
-            Layer("bronze", {t: BRONZE.tables[t] for t in tables}, keys={}), tables
-        ) if tables else None
-        wide = {r["table"]: r for r in widths.where("violations > 0").collect()} if widths is not None else {}
-        failed, events = [], []
-        for r in compared:
-            bad = r["outcome"] != MATCH or r["table"] in wide
-            events.append(
+        """Lines in the files against rows in the tables, and text within its declared width."""
+        tables = self.warehouse.read_layer(BRONZE, self.run_id)
+        lines = delimited.source_line_counts(self.warehouse.spark, source)
+        loaded = reduce(DataFrame.union, [row_count(df, name) for name, df in tables.items()])
+        compared = reconcile(lines, loaded, ["table"], F.col("rows"), F.col("rows")).collect()
+        report = self._report(BRONZE)
+        too_wide = {r["table"] for r in report.where(F.col("violations") > 0).collect()}
+        self.log(
+            "bronze",
+            *[
                 {
                     "step": f"bronze.load_{r['table']}",
                     "rows_read": r["left_rows"],
                     "rows_written": r["right_rows"],
-                    "validation_status": runlog.FAILED if bad else runlog.SUCCESS,
+                    "validation_status": runlog.SUCCESS
+                    if r["outcome"] == MATCH and r["table"] not in too_wide
+                    else runlog.FAILED,
                 }
-            )
-            if r["outcome"] != MATCH:
-                failed.append({"check": r["outcome"], "table": r["table"], "columns": "rows",
-                               "violations": abs((r["left_rows"] or 0) - (r["right_rows"] or 0))})
-        failed += [r.asDict() for r in wide.values()]
-        self.log("bronze", *events)
-        if failed:
-            raise checks.ValidationFailed("bronze", failed)
+                for r in compared
+            ],
+        )
+        mismatches = [
+            {"check": r["outcome"], "table": r["table"], "columns": f"{r['left_rows']} != {r['right_rows']}"}
+            for r in compared
+            if r["outcome"] != MATCH
+        ]
+        if mismatches:
+            raise checks.ValidationFailed("bronze", mismatches)
+        checks.gate("bronze", report)
 
     # -- silver ----------------------------------------------------------------------------
 

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from oreflow.functions import codes, text, values
 from oreflow.operators.survivors import survivors
 from oreflow.operators.versions import chain_end_dates
-from oreflow.schemas import SILVER
+from oreflow.schemas import SILVER, declared_widths
 from oreflow.sources.tables import conform
 
 
 def _clip_to(schema):
     """A function giving a text column cut to the width the schema declares for ``name``."""
-    widths = {f.name: f.metadata["width"] for f in schema if "width" in f.metadata}
+    widths = declared_widths(schema)
     return lambda c, name: text.clip(c, widths[name]).alias(name)
 
 

@@ -35,8 +35,8 @@ def text_table(**widths: int) -> StructType:
     return table(**{name: text(width) for name, width in widths.items()})
 
 
-def width_of(field: StructField) -> int | None:
-    return field.metadata.get("width")
+def declared_widths(schema: StructType) -> dict[str, int]:
+    return {f.name: f.metadata["width"] for f in schema if "width" in f.metadata}
 
 
 @dataclass(frozen=True)

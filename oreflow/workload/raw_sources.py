@@ -107,9 +107,9 @@ SELECT 'run-' || cast(user_id AS string) AS run_id,
        CASE WHEN event_id % 5 = 2 THEN CASE WHEN value > 50 THEN 'FAILED' ELSE 'SUCCESS' END END AS validation_status,
        CASE WHEN event_id % 4 > 0 THEN event_id * 10 END AS rows_read,
        CASE WHEN event_id % 4 > 0 THEN event_id * 9 END AS rows_written,
-       cast(NULL AS string) AS referential_integrity,
-       cast(NULL AS string) AS null_key_check,
-       cast(NULL AS string) AS duplicate_key_check,
+       CASE event_id % 7 WHEN 0 THEN 'PASS' WHEN 1 THEN 'FAIL' END AS referential_integrity,
+       CASE event_id % 7 WHEN 2 THEN 'PASS' WHEN 3 THEN 'FAIL' END AS null_key_check,
+       CASE event_id % 7 WHEN 4 THEN 'PASS' WHEN 5 THEN 'FAIL' END AS duplicate_key_check,
        cast(10 + event_id % 10 AS int) AS severity,
        cast(CASE event_id % 13 WHEN 0 THEN 4832 WHEN 1 THEN 2627 WHEN 2 THEN 208 WHEN 3 THEN 4799 WHEN 4 THEN 4899
             WHEN 5 THEN 8114 WHEN 6 THEN 102 WHEN 7 THEN 245 WHEN 8 THEN 4900 WHEN 9 THEN 2812
