@@ -101,13 +101,16 @@ def top_values(counts: DataFrame, k: int = TOP) -> DataFrame:
     """The ``k`` most frequent values per column as ``value(count)``; ties go by value.
 
     Spark drops all but the first ``k`` rows per column in each task before the shuffle
-    (window group limit), so a column of unique values does not end up in one task.
+    (window group limit), so a column of unique values does not end up in one task.  NULL is
+    ranked last and dropped afterwards: dropping it first would be pushed below the counting,
+    and the table would be read and shuffled again just for this.
     """
-    ranking = Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("value"))
+    missing = F.col("value").isNull()
+    ranking = Window.partitionBy("column").orderBy(missing, F.col("n").desc(), F.col("value"))
     ranked = (
-        counts.where(F.col("value").isNotNull())
-        .withColumn("rank", F.row_number().over(ranking))
+        counts.withColumn("rank", F.row_number().over(ranking))
         .where(F.col("rank") <= k)
+        .where(~missing)
     )
     shown = F.struct("rank", joined(F.col("value"), F.lit("("), F.col("n"), F.lit(")")).alias("text"))
     return ranked.groupBy("column").agg(

@@ -137,6 +137,8 @@ def version_join(
 
     busy = facts.join(crowded, fact_in_crowd, "left_semi")
     first, last = (busy.select(f(on_date)).scalar() for f in (F.min, F.max))
+    # The listing is larger than Spark's estimate of it, so it must not be broadcast on that
+    # estimate; the sort-merge join spreads a key over its weeks, and AQE splits a hot week.
     listed = (
         ranges.join(crowded, in_crowd, "left_semi")
         .where((F.col("_from") <= last) & (F.col("_to") >= first))
@@ -149,6 +151,7 @@ def version_join(
                 )
             ),
         )
+        .hint("merge")
     )
     sliced = (
         busy.withColumn("_fact_week", _slice_of(F.col(on_date), slice_days))

@@ -61,10 +61,11 @@ def written_silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def products_and_facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The product dimension as a written table, as the fact load finds it, and the facts on it."""
+    """Dimension and order lines as written tables, as the fact load finds them, and the facts on them."""
     tables = Silver(spark, sf_dir)
     products = written(gold.dim_product(tables))
-    return products, gold.fact_sales(tables, products)
+    lines = written(tables["crm_sales_details"])
+    return products, gold.fact_sales({"crm_sales_details": lines}, products)
 
 
 def written_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -40,8 +40,9 @@ SELECT cast(p_partkey * 3 + v + 1 AS string) AS prd_id,
        CASE v WHEN 0 THEN '1995-07-01' WHEN 1 THEN '1997-07-01' ELSE '1999-07-01' END AS prd_start_dt,
        CASE WHEN v < p_partkey % 3 THEN '1994-12-31' WHEN p_partkey % 10 = 9 THEN '2000-12-31'
             ELSE '' END || chr(13) AS prd_end_dt
-FROM {part} CROSS JOIN (VALUES (0),(1),(2)) AS ver(v)
-WHERE v <= p_partkey % 3""",
+FROM (SELECT *, 0 AS v FROM {part}
+      UNION ALL SELECT *, 1 FROM {part} WHERE p_partkey % 3 >= 1
+      UNION ALL SELECT *, 2 FROM {part} WHERE p_partkey % 3 >= 2) p""",
     "crm_sales_details": """
 SELECT CASE WHEN l_orderkey % 9 = 0 THEN '' ELSE 'SO' END || cast(l_orderkey AS string) AS sls_ord_num,
        CASE WHEN l_partkey % 211 = 3 THEN ' ' ELSE 'BK-' || lpad(cast(l_partkey AS string), 6, '0') END AS sls_prd_key,
