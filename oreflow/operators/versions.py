@@ -13,8 +13,8 @@ from oreflow.functions.values import or_open_end
 from oreflow.operators.groups import HEAVY_ROWS, MAX_HEAVY_KEYS, heavy_keys, same_keys
 
 # Ids of a heavy key are cut into runs of 2**SLICE_BITS, and the runs into runs again
-# until one task can hold what is left: once for 32-bit ids, three times for 64-bit ids.
-SLICE_BITS = 20
+# until one task can hold what is left: once for 32-bit ids, twice for 64-bit ids.
+SLICE_BITS = 21
 
 
 def chain_end_dates(

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from oreflow.operators.profile import profile
+
 BAD_LINE = "_bad_line"
 
 
@@ -45,7 +50,10 @@ def table_name(file_path: Column) -> Column:
 
 
 def discover(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
-    """Every matching file below ``root`` with its table name; contents are not read."""
+    """Every matching file below ``root`` with its table name; contents are not read.
+
+    Spark does not list files of zero bytes: their tables count as missing.
+    """
     files = (
         spark.read.format("binaryFile")
         .options(recursiveFileLookup=True, pathGlobFilter=pattern)
@@ -56,7 +64,7 @@ def discover(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFram
 
 
 def source_line_counts(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
-    """Lines per file without the header, as (file_path, table, rows).
+    """Lines per non-empty file without the header, as (file_path, table, rows).
 
     Counts raw lines, blank and malformed ones included, so it also catches what a parser
     skips.  Large files are counted split by split.
@@ -67,11 +75,19 @@ def source_line_counts(spark: SparkSession, root: str, pattern: str = "*.csv") -
         .groupBy(F.col("_metadata.file_path").alias("file_path"))
         .agg(F.count(F.lit(1)).alias("lines"))
     )
-    return (
-        discover(spark, root, pattern)
-        .join(lines, "file_path", "left")
-        .select("file_path", "table", (F.coalesce("lines", F.lit(0)) - 1).alias("rows"))
-    )
+    return lines.select("file_path", table_name(F.col("file_path")).alias("table"), (F.col("lines") - 1).alias("rows"))
+
+
+def profile_files(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
+    """One row per file and column.  Unlike the raw scan this reads quotes and CRLF as the format means them."""
+    files = [r["file_path"] for r in discover(spark, root, pattern).select("file_path").collect()]
+    if not files:
+        raise ValueError(f"no {pattern} below {root}")
+    reports = [
+        profile(spark.read.option("header", True).csv(f), unquote(f.rsplit("/", 1)[-1].rsplit(".", 1)[0]))
+        for f in sorted(files)
+    ]
+    return reduce(DataFrame.union, reports)
 
 
 def write_report(df: DataFrame, path: str) -> None:

@@ -1,9 +1,8 @@
 import datetime
+import random
 from collections import Counter
 
 import pytest
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
 
 from oreflow.operators.versions import chain_end_dates, version_join
 
@@ -11,7 +10,6 @@ D = datetime.date.fromisoformat
 DAY = datetime.timedelta(days=1)
 BASE = D("2020-01-01")
 CHAIN = "id int, key string, start date, end date"
-QUIET = dict(deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 # id, key, start, end, expected end
 EDGE = [
@@ -20,7 +18,8 @@ EDGE = [
     (5, "Y", "2020-01-01", "2020-06-30", "2020-06-30"), (6, "Z", "2020-01-01", None, "2020-12-31"),
     (7, "Z", "2021-01-01", None, None),
 ]
-PATHS = [dict(heavy_rows=1000), dict(heavy_rows=0), dict(heavy_rows=0, slice_bits=1), dict(heavy_rows=1, slice_bits=2)]
+USUAL, HEAVY, MIXED = dict(heavy_rows=1000), dict(heavy_rows=0), dict(heavy_rows=6, slice_bits=11)
+PATHS = [USUAL, HEAVY]
 
 
 def date(text):
@@ -35,23 +34,24 @@ def test_chain_edge_rows(rows, path):
     assert out.count() == len(EDGE)
 
 
-@pytest.mark.parametrize("id_type", ["int", "bigint"])
-@settings(max_examples=6, **QUIET)
-@given(
-    st.lists(
-        st.tuples(
-            st.integers(-40, 40), st.sampled_from([None, "k", "l"]),
-            st.one_of(st.none(), st.integers(0, 300)), st.one_of(st.none(), st.integers(0, 300)),
-        ),
-        min_size=1, max_size=25, unique_by=lambda t: t[0],
-    ),
-    st.sampled_from(PATHS),
+def some_day(rnd, last):
+    return None if rnd.random() < 0.15 else BASE + rnd.randint(0, last) * DAY
+
+
+# The spacing of the ids puts several of them into a slice and several slices into the next one.
+@pytest.mark.parametrize(
+    "id_type, spacing, path",
+    [("int", 1, USUAL), ("int", 2**19, HEAVY), ("int", 2**9, MIXED), ("bigint", 2**40, HEAVY), ("bigint", 1, USUAL)],
 )
-def test_chain_like_brute_force(rows, id_type, drawn, path):
-    data = [(i, k, s if s is None else BASE + s * DAY, e if e is None else BASE + e * DAY) for i, k, s, e in drawn]
+def test_chain_like_brute_force(rows, id_type, spacing, path):
+    rnd = random.Random(str(path))
+    data = [
+        (i * spacing, rnd.choice([None, *map(str, range(60))]), some_day(rnd, 300), some_day(rnd, 300))
+        for i in rnd.sample(range(-400, 400), 400)
+    ]
     expected = {}
     for i, k, s, e in data:
-        later = sorted(r for r in data if r[1] == k and r[0] > i)
+        later = sorted((r for r in data if r[1] == k and r[0] > i), key=lambda r: r[0])
         following = later[0][2] - DAY if later and later[0][2] else None
         expected[i] = following if e is None or (s is not None and s > e) else e
     df = rows(data, CHAIN.replace("id int", f"id {id_type}"))
@@ -87,27 +87,13 @@ def look_up_by_hand(facts, versions):
     return out
 
 
-facts_drawn = st.lists(
-    st.tuples(st.sampled_from([None, "k", "l", "m"]), st.one_of(st.none(), st.integers(0, 90))), min_size=1, max_size=15
-)
-versions_drawn = st.lists(
-    st.tuples(
-        st.sampled_from([None, "k", "l"]), st.one_of(st.none(), st.integers(0, 90)),
-        st.one_of(st.none(), st.integers(0, 90)),
-    ),
-    max_size=15,
-)
-
-
-@settings(max_examples=10, **QUIET)
-@given(facts_drawn, versions_drawn, st.sampled_from([(1000, 7), (0, 7), (2, 1), (1, 30)]))
-def test_version_join_like_brute_force(rows, facts, versions, path):
-    facts = [(i, k, d if d is None else BASE + d * DAY) for i, (k, d) in enumerate(facts)]
-    versions = [
-        (i, k, s if s is None else BASE + s * DAY, u if u is None else BASE + u * DAY)
-        for i, (k, s, u) in enumerate(versions)
-    ]
-    got = look_up(rows, facts, versions, crowded_versions=path[0], slice_days=path[1])
+@pytest.mark.parametrize("crowded_versions, slice_days", [(1000, 7), (0, 7), (3, 1), (2, 30)])
+def test_version_join_like_brute_force(rows, crowded_versions, slice_days):
+    rnd = random.Random(slice_days)
+    keys = [None, *map(str, range(40))]
+    facts = [(i, rnd.choice([*keys, "unknown"]), some_day(rnd, 90)) for i in range(300)]
+    versions = [(i, rnd.choice(keys), some_day(rnd, 90), some_day(rnd, 90)) for i in range(150)]
+    got = look_up(rows, facts, versions, crowded_versions=crowded_versions, slice_days=slice_days)
     assert got == look_up_by_hand(facts, versions)
 
 
