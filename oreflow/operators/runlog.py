@@ -118,11 +118,10 @@ def latest_run(state: DataFrame, layer: str) -> DataFrame:
     """
     starts = batch_starts(state)
     newest = starts.agg(F.max("batch_start")).scalar()
-    return (
-        state.where(F.col("layer") == layer)
-        .join(starts.where(F.col("batch_start") == newest), "run_id")
-        .orderBy("started_at")
-    )
+    # Usually one run, so its own exchange: AQE then sees the true size and broadcasts it if
+    # that is small, which also keeps a run with very many steps out of a single task.
+    runs = starts.where(F.col("batch_start") == newest).repartition("run_id")
+    return state.where(F.col("layer") == layer).join(runs, "run_id").orderBy("started_at")
 
 
 def unfinished(steps: DataFrame) -> DataFrame:

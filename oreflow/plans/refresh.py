@@ -91,12 +91,12 @@ class Refresh:
     # -- bronze ----------------------------------------------------------------------------
 
     def load_bronze(self, source: str) -> None:
+        """Load the tables the source has files for; ``expect_loaded`` misses the others."""
         spark = self.warehouse.spark
-        listing = delimited.discover(spark, source).groupBy("table").agg(F.collect_list("file_path").alias("files"))
-        files = {r["table"]: r["files"] for r in listing.collect()}
+        found = delimited.tables_found(spark, source)
         for table, schema in BRONZE.tables.items():
-            if table in files:
-                self.step(BRONZE, table, lambda t=table, s=schema: delimited.read_delimited(spark, files[t], s))
+            if table in found:
+                self.step(BRONZE, table, lambda t=table, s=schema: delimited.read_delimited(spark, found[t], s))
 
     def check_bronze(self, source: str) -> None:
         """Lines in the files against rows in the tables, and text within its declared width."""

@@ -78,15 +78,39 @@ def source_line_counts(spark: SparkSession, root: str, pattern: str = "*.csv") -
     return lines.select("file_path", table_name(F.col("file_path")).alias("table"), (F.col("lines") - 1).alias("rows"))
 
 
+def tables_found(spark: SparkSession, root: str, pattern: str = "*.csv") -> dict[str, list[str]]:
+    """The tables below ``root``, each with one path pattern per folder that has files of it.
+
+    Reading by pattern leaves the listing of files to Spark; filtering rows by their file's name
+    would evaluate the naming rule once per row.
+    """
+    split = F.regexp_extract("file_path", "^(.*)/([^/]*)$", 1), F.regexp_extract("file_path", "^(.*)/([^/]*)$", 2)
+    found = (
+        discover(spark, root, pattern)
+        .select("table", split[0].alias("folder"), F.lower(split[1]).alias("file"))
+        .distinct()
+        .orderBy("table", "folder", "file")
+        .collect()
+    )
+    tables: dict[str, list[str]] = {}
+    for r in found:
+        any_case = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in unquote(r["file"]))
+        tables.setdefault(r["table"], []).append(f"{unquote(r['folder'])}/{any_case}")
+    return tables
+
+
 def profile_files(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
-    """One row per file and column.  Unlike the raw scan this reads quotes and CRLF as the format means them."""
-    files = [r["file_path"] for r in discover(spark, root, pattern).select("file_path").collect()]
-    if not files:
-        raise ValueError(f"no {pattern} below {root}")
+    """One row per table and column below ``root``.
+
+    Unlike the raw scan this reads quotes and CRLF as the format means them, and takes the
+    columns from the header.
+    """
     reports = [
-        profile(spark.read.option("header", True).csv(f), unquote(f.rsplit("/", 1)[-1].rsplit(".", 1)[0]))
-        for f in sorted(files)
+        profile(spark.read.option("header", True).csv(paths), table)
+        for table, paths in tables_found(spark, root, pattern).items()
     ]
+    if not reports:
+        raise ValueError(f"no {pattern} below {root}")
     return reduce(DataFrame.union, reports)
 
 

@@ -48,3 +48,12 @@ def test_bronze_schemas_are_all_text():
 def test_a_final_line_without_row_end_counts(spark, tmp_path, end):
     put(tmp_path / "s_t", "x.csv", end.join([b"a", b"1", b"2"]))
     assert delimited.source_line_counts(spark, str(tmp_path)).first()["rows"] == 2
+
+
+def test_tables_found_reads_every_folder_and_case(spark, tmp_path):
+    put(tmp_path / "p_crm", "X.csv", b"a,b\n1,1\n")
+    put(tmp_path / "q r_crm", "x.csv", b"a,b\n2,2\n")
+    put(tmp_path / "p_crm", "xy.csv", b"a,b\n3,3\n")
+    found = delimited.tables_found(spark, str(tmp_path))
+    assert set(found) == {"crm_x", "crm_xy"} and len(found["crm_x"]) == 2
+    assert {r["a"] for r in delimited.read_delimited(spark, found["crm_x"], TWO).collect()} == {"1", "2"}

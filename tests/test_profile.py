@@ -46,8 +46,8 @@ def test_profile_of_files(spark, tmp_path):
         (tmp_path / folder / name).write_bytes(body)
     report = delimited.profile_files(spark, str(tmp_path))
     got = {(r["name"], r["column"]): r for r in report.collect()}
-    assert set(got) == {("Cust_Info", "id"), ("Cust_Info", "name"), ("loc", "k")}
-    assert got["Cust_Info", "name"]["null_count"] == 1 and got["Cust_Info", "name"]["max_length"] == 4
+    assert set(got) == {("crm_cust_info", "id"), ("crm_cust_info", "name"), ("erp_loc", "k")}
+    assert got["crm_cust_info", "name"]["null_count"] == 1 and got["crm_cust_info", "name"]["max_length"] == 4
     out = str(tmp_path / "report")
     delimited.write_report(profile.with_headings(report), out)
     back = spark.read.option("header", True).csv(out)
