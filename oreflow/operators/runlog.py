@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import datetime
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from oreflow.functions.values import elapsed_ms
 from oreflow.operators.checks import ValidationFailed
@@ -82,7 +84,7 @@ def now() -> datetime.datetime:
 def append(spark: SparkSession, path: str, events: list[dict]) -> None:
     """Add events (dicts over the RUN_EVENTS columns) to the log; their time is now."""
     moment = now()
-    rows = [tuple({"event_time": moment, **e}.get(f.name) for f in RUN_EVENTS) for e in events]
+    rows = pa.Table.from_pylist([{"event_time": moment, **e} for e in events], to_arrow_schema(RUN_EVENTS))
     spark.createDataFrame(rows, RUN_EVENTS).coalesce(1).write.mode("append").parquet(path)
 
 

@@ -166,7 +166,7 @@ class Refresh:
     def _report(self, layer: Layer) -> DataFrame:
         """The layer's checks, run once; one row per declared check."""
         report = checks.constraint_report(layer, self.warehouse.read_layer(layer, self.run_id))
-        return self.warehouse.spark.createDataFrame(report.collect(), report.schema)
+        return self.warehouse.spark.createDataFrame(report.toArrow(), report.schema)
 
 
 def _without_table(row) -> dict:
