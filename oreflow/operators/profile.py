@@ -112,6 +112,7 @@ def top_values(counts: DataFrame, k: int = TOP) -> DataFrame:
         .where(F.col("rank") <= k)
         .where(~missing)
     )
+    # At most ``k`` rows per column are left to collect.
     shown = F.struct("rank", joined(F.col("value"), F.lit("("), F.col("n"), F.lit(")")).alias("text"))
     return ranked.groupBy("column").agg(
         F.array_join(F.sort_array(F.collect_list(shown))["text"], ", ").alias("top_values")

@@ -105,7 +105,7 @@ def version_join(
     start: str,
     end: str,
     take: list[str],
-    crowded_versions: int = 1000,
+    crowded_versions: int = 100,
     slice_days: int = 7,
 ) -> DataFrame:
     """Left join each fact with the versions of its key valid on its date (both ends included).

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,9 +50,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="oreflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="oreflow-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -63,3 +64,9 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/oreflow-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def written_all(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """``written`` for independent frames, submitted together so that their stages fill the cluster."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return dict(zip(frames, pool.map(written, frames.values())))

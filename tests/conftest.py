@@ -4,10 +4,8 @@ from oreflow.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     spark = local_session("tests", cores="8", shuffle_partitions=4)
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield spark
     spark.stop()
 
