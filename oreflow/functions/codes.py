@@ -24,11 +24,12 @@ OTHER = "Other"
 
 
 def decode(c: Column, labels: dict[str, list[str]], unknown: Column) -> Column:
-    """Map codes to labels; NULL never matches and takes ``unknown`` like any other miss."""
-    rule = F
-    for label, codes in labels.items():
-        rule = rule.when(c.isin(codes), F.lit(label))
-    return rule.otherwise(unknown)
+    """Map codes to labels; NULL never matches and takes ``unknown`` like any other miss.
+
+    A lookup in a literal map evaluates ``c`` once, where a CASE would do so per branch.
+    """
+    by_code = F.create_map(*[F.lit(x) for label, codes in labels.items() for code in codes for x in (code, label)])
+    return F.coalesce(F.try_element_at(by_code, c), unknown)
 
 
 def label_or_other(c: Column, labels: dict[str, list[str]]) -> Column:

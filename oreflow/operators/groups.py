@@ -20,23 +20,16 @@ HEAVY_ROWS = 1_000_000
 MAX_HEAVY_KEYS = 10_000
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Equal keys, NULL matching NULL, as GROUP BY and PARTITION BY see them."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def heavy_keys(
-    df: DataFrame,
-    keys: list[str],
-    stats: dict[str, Column] | None = None,
-    heavy_rows: int = HEAVY_ROWS,
-    max_keys: int = MAX_HEAVY_KEYS,
+    df: DataFrame, keys: list[str], heavy_rows: int = HEAVY_ROWS, max_keys: int = MAX_HEAVY_KEYS
 ) -> DataFrame:
-    """The keys with more than ``heavy_rows`` rows, with their ``stats``; never over ``max_keys`` rows."""
-    aggregates = [c.alias(name) for name, c in (stats or {}).items()]
+    """The keys with more than ``heavy_rows`` rows; never over ``max_keys`` of them.
+
+    Only the key columns are read, and only (key, count) is shuffled.
+    """
     return (
         df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"), *aggregates)
+        .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > heavy_rows)
         .orderBy(F.col("_rows").desc(), *keys)
         .limit(max_keys)
@@ -52,18 +45,23 @@ def with_group_stats(
 ) -> DataFrame:
     """Add ``agg OVER (PARTITION BY keys)`` columns.
 
-    Heavy keys take their values from the broadcast aggregate.  Their rows are windowed by
-    (key, input partition) instead, so that no task gets more of them than one input split
-    holds.  The input partition of a row is the same when a task is run again, unlike a
-    random salt, and it also separates identical copies, unlike a hash of the row.
+    Heavy keys take their values from a map-side combined aggregate over just their rows, one
+    broadcast row per heavy key.  Their rows are windowed by (key, input partition) instead, so
+    that no task gets more of them than one input split holds.  The input partition of a row is
+    the same when a task is run again, unlike a random salt, and it also separates identical
+    copies, unlike a hash of the row.
     """
-    heavy = heavy_keys(df, keys, stats, heavy_rows, max_keys)
-    renamed = heavy.select(
-        *[F.col(k).alias(f"_heavy_{k}") for k in keys],
-        F.struct("_rows", *stats).alias("_heavy"),
+    names = {k: f"_heavy_{k}" for k in keys}
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(name)) for k, name in names.items()])
+    heavy = heavy_keys(df, keys, heavy_rows, max_keys).withColumnsRenamed(names)
+    # As many rows as ``heavy`` has, hence the same bound.
+    answers = (
+        df.join(F.broadcast(heavy), match, "left_semi")
+        .groupBy(*keys)
+        .agg(*[c.alias(name) for name, c in stats.items()])
+        .select(*[F.col(k).alias(name) for k, name in names.items()], F.struct(*stats).alias("_heavy"))
     )
-    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_heavy_{k}")) for k in keys])
-    marked = df.join(F.broadcast(renamed), match, "left").withColumn(
+    marked = df.join(F.broadcast(answers), match, "left").withColumn(
         "_slice", F.when(F.col("_heavy").isNotNull(), F.spark_partition_id()).otherwise(F.lit(-1))
     )
     window = Window.partitionBy(*keys, "_slice")

@@ -10,7 +10,7 @@ from pyspark.sql.types import IntegerType
 from pyspark.sql.window import Window
 
 from oreflow.functions.values import or_open_end
-from oreflow.operators.groups import HEAVY_ROWS, MAX_HEAVY_KEYS, heavy_keys, same_keys
+from oreflow.operators.groups import HEAVY_ROWS, MAX_HEAVY_KEYS, heavy_keys
 
 # Ids of a heavy key are cut into runs of 2**SLICE_BITS, and the runs into runs again
 # until one task can hold what is left: once for 32-bit ids, twice for 64-bit ids.
@@ -33,9 +33,10 @@ def chain_end_dates(
     version stays open.  Copies of an id all see the same next version.
     """
     rows = df.where(F.col(version_id).isNotNull())
-    heavy = F.broadcast(heavy_keys(rows, [key], heavy_rows=heavy_rows).select(key))
-    usual = rows.join(heavy, same_keys(rows, heavy, [key]), "left_anti")
-    crowded = rows.join(heavy, same_keys(rows, heavy, [key]), "left_semi")
+    heavy = F.broadcast(heavy_keys(rows, [key], heavy_rows=heavy_rows).select(F.col(key).alias("_heavy")))
+    is_heavy = F.col(key).eqNullSafe(F.col("_heavy"))
+    usual = rows.join(heavy, is_heavy, "left_anti")
+    crowded = rows.join(heavy, is_heavy, "left_semi")
 
     # Walking the ids downwards, "all larger ids" is a frame that only grows: one pass per key.
     larger_ids = (

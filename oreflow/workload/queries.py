@@ -478,9 +478,6 @@ def _(spark, sf_dir):
     return checks.orphan_keys(tables["crm_sales_details"], roads, _PRODUCT_KEY)
 
 
-_RECORD = Reference("records", "record", "orders", "o_orderkey")
-
-
 @query(
     "orphan_rows",
     f"""SELECT r.* FROM ({_ORDERS.format(orders='orders')}) r LEFT JOIN (SELECT DISTINCT l_orderkey FROM lineitem) l
