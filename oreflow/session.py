@@ -34,6 +34,8 @@ def local_session(app: str, cores: str = "*", shuffle_partitions: int = 8) -> Sp
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # Recording the Python call site of every Column costs more than planning does.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
