@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreflow.llm.bitplanes import read_index, write_tokens
 from oreflow.llm.chat_format import format_conversations, read_back
 from oreflow.llm.common import read
 from oreflow.llm.exact_dedup import exact_duplicates
 from oreflow.llm.shuffle_shards import hypergeometric_shuffle
-from oreflow.session import tune
+from oreflow.llm.simhash import near_duplicates
+from oreflow.llm.va_search import top_products
+from oreflow.session import shared_folder, tune
+
+TOKENIZER = "word_bpe_49k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,3 +112,34 @@ def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op1_bit_planes")
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    write_tokens(read(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER))
+    return read_index(spark, path)
+
+
+@query("op7_covering_simhash")
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query(
+    "op9_va_file_topk",
+    """
+    WITH whole AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+        FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+    )
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+    FROM scored QUALIFY rank <= 5
+    """,
+)
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(read(spark, sf_dir, "embeddings"))
