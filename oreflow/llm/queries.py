@@ -10,13 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.llm.bitplanes import read_index, write_tokens
+from oreflow.llm.bm25_packing import pack, pieces
 from oreflow.llm.chat_format import format_conversations, read_back
 from oreflow.llm.common import read
 from oreflow.llm.exact_dedup import exact_duplicates
+from oreflow.llm.line_chunks import dedup_line_chunks
+from oreflow.llm.mixing import mix, words_of
+from oreflow.llm.pu_quality import classify
 from oreflow.llm.shuffle_shards import hypergeometric_shuffle
 from oreflow.llm.simhash import near_duplicates
 from oreflow.llm.va_search import top_products
-from oreflow.session import shared_folder, tune
+from oreflow.session import shared_folder, tune, written
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -143,3 +147,109 @@ def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products(read(spark, sf_dir, "embeddings"))
+
+
+@query("op2_pu_quality")
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op4_line_chunks")
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_line_chunks(docs, removed="removed").select(
+        "doc_id",
+        F.col("removed").isNotNull().alias("changed"),
+        F.coalesce(F.aggregate("removed", F.lit(0), lambda n, r: n + r["size"]), F.lit(0)).alias("lines_removed"),
+        F.octet_length("text").alias("bytes_left"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
+@query("op5_bm25_packing")
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces(pack(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)))
+
+
+# Target weights of the registered mixture; names carry "=", sources share by a power of their tokens.
+DOMAIN_WEIGHTS = {"=d0": 4, "=d1": 3, "=d2": 2}
+LANG_WEIGHTS = {"=en": 4, "=de": 2}
+SOURCE_POWER = 0.7
+
+
+def weighted(name, weights: dict[str, int]):
+    out = F.lit(1)
+    for key, weight in weights.items():
+        out = F.when(name == key, weight).otherwise(out)
+    return out
+
+
+def target_weights(names, tokens):
+    return [weighted(names[0], DOMAIN_WEIGHTS), weighted(names[1], LANG_WEIGHTS), F.pow(tokens.cast("double"), SOURCE_POWER)]
+
+
+def domain_of(source):
+    return F.concat(F.lit("d"), F.ascii(F.right(source, F.lit(1))) % 4)
+
+
+def _level(depth: int) -> str:
+    """One level of the budget tree in SQL, over ``leaves`` and the level above."""
+    names = ["domain", "lang", "source"][:depth]
+    path, parent = ", ".join(names), ", ".join(names[:-1])
+    given = f"branch_{depth} AS (SELECT {path}, sum(tokens) AS tokens, 4.0::DOUBLE * sum(tokens) AS cap FROM leaves GROUP BY {path})"
+    weight = [
+        "CASE domain WHEN 'd0' THEN 4 WHEN 'd1' THEN 3 WHEN 'd2' THEN 2 ELSE 1 END",
+        "CASE lang WHEN 'en' THEN 4 WHEN 'de' THEN 2 ELSE 1 END",
+        "pow(tokens::DOUBLE, 0.7)",
+    ][depth - 1]
+    budget = (
+        "branch_1, (SELECT 0.5::DOUBLE * sum(tokens) AS budget FROM leaves)"
+        if depth == 1
+        else f"branch_{depth} JOIN (SELECT {parent}, given AS budget FROM given_{depth - 1}) USING ({parent})"
+    )
+    by = f"PARTITION BY {parent} " if parent else ""
+    return f"""{given},
+    weighed_{depth} AS (SELECT *, {weight}::DOUBLE AS weight FROM {budget}),
+    leveled_{depth} AS (
+        SELECT *, (budget - coalesce(sum(cap) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                  / sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS here
+        FROM weighed_{depth} WINDOW w AS ({by}ORDER BY cap / weight, {names[-1]})
+    ),
+    given_{depth} AS (
+        SELECT {path}, tokens, least(cap, coalesce(weight * first_value(CASE WHEN cap / weight >= here THEN here END IGNORE NULLS)
+                   OVER ({by}ORDER BY cap / weight, {names[-1]} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), cap)) AS given
+        FROM leveled_{depth}
+    )"""
+
+
+@query(
+    "op10_hierarchical_mix",
+    rf"""
+    WITH docs AS (
+        SELECT doc_id, lang, source, len(regexp_split_to_array(trim(coalesce(text, ''), E' 
+
+	'), '[ 
+
+	]+')) AS tokens FROM documents
+    ), domains AS (
+        SELECT DISTINCT source, 'd' || (ascii(right(source, 1)) % 4) AS domain FROM docs
+    ), placed AS (SELECT * FROM docs JOIN domains USING (source)),
+    leaves AS (SELECT domain, lang, source, sum(tokens) AS tokens FROM placed GROUP BY ALL),
+    {_level(1)}, {_level(2)}, {_level(3)},
+    quotas AS (
+        SELECT domain, lang, source, round(given)::BIGINT // tokens::BIGINT AS whole, round(given)::BIGINT % tokens::BIGINT AS rest FROM given_3
+    )
+    SELECT doc_id, domain, lang, source, tokens::BIGINT AS tokens,
+           whole + CASE WHEN sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('7:' || whole || ':' || doc_id)) - tokens < rest
+                        THEN 1 ELSE 0 END AS copies
+    FROM placed JOIN quotas USING (domain, lang, source)
+    """,
+)
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "documents").select(
+        "doc_id", domain_of(F.col("source")).alias("domain"), "lang", "source", words_of(F.col("text")).alias("tokens")
+    )
+    levels = [F.col("domain"), F.col("lang"), F.col("source")]
+    return mix(written(rows), levels, target_weights, F.col("tokens"), share=0.5).select(
+        "doc_id", "domain", "lang", "source", "tokens", "copies"
+    )
