@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import as_batch, column, slices
+from oreflow.llm.common import as_batch, column, fresh, slices
 from oreflow.llm.components import components
 from oreflow.session import written
 
@@ -282,3 +282,45 @@ def near_duplicates(
     return prints.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_first(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", radius: int = RADIUS, limit: int = LARGE_BUCKET
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that come first in their group of near-duplicates.
+
+    First is the smallest id, null last, then the smallest hash of the text; of rows equal in both all stay out
+    but one.  Texts are read twice: once for the fingerprints, and once to pick rows by (id, hash).
+    """
+    (key,) = fresh(docs, "key")
+    text = F.coalesce(column(text_column).cast("string"), F.lit(""))
+    name = F.md5(F.concat_ws(":", F.coalesce(column(id_column).cast("string"), F.lit("null")), text))
+    keyed = docs.select(column(id_column).cast("long").alias("doc_id"), name.alias("key"), text.alias("text"))
+    prints = written(keyed.mapInArrow(_keyed_fingerprints(WORDS, SEED), "doc_id bigint, key string, fp bigint"))
+    distinct = written(prints.select("fp").distinct())
+    roots = components(near_links(distinct, radius, limit)).select(F.col("a").alias("fp"), "b")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    best = (
+        prints.groupBy("fp")
+        .agg(F.min(place).alias("best"))
+        .join(roots, "fp", "left")
+        .groupBy(F.coalesce("b", "fp"))
+        .agg(F.min("best").alias("best"))
+        .select(F.col("best.key").alias(key))
+    )
+    # Rows equal in id and text share a key: one of them stays.
+    return docs.withColumn(key, name).join(best, key, "left_semi").dropDuplicates([key]).drop(key)
+
+
+def _keyed_fingerprints(words: int, seed: int):
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.string()), ("fp", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in slices(batch, "text"):
+                fps = np.array([fingerprint(t, words, seed) for t in texts], np.uint64)
+                yield as_batch(
+                    schema, {"doc_id": part.column(0), "key": part.column(1), "fp": pa.array(fps.view(np.int64))}
+                )
+
+    return run
