@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from oreflow.llm.common import as_batch, column, slices
-from oreflow.llm.tokens import Encoder
+from oreflow.llm.tokens import encoder
 
 BLOCK_IDS = 1 << 16
 LEVEL = 3
@@ -78,7 +78,6 @@ def from_planes(planes: list[bytes], kind: str, count: int) -> np.ndarray:
 
 def _write_blocks(tokenizer: str, end_id: int, kind: str, block_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
         pending: list[np.ndarray] = []  # ids not yet in a block
         index: list[dict] = []  # of the block being filled
         held = block = ordinal = 0
@@ -92,10 +91,10 @@ def _write_blocks(tokenizer: str, end_id: int, kind: str, block_ids: int):
             return as_batch(_BLOCKS, row)
 
         for batch in batches:
-            encoder = encoder or Encoder(tokenizer, end_id)
+            words = encoder(tokenizer, end_id)
             for piece, texts in slices(batch, "text"):
                 part = piece.column(piece.schema.get_field_index("part"))[0].as_py()
-                ids, lengths = encoder.encode(texts)
+                ids, lengths = words.encode(texts)
                 at = 0
                 for doc_id, length in zip(piece.column(0).to_pylist(), lengths.tolist()):
                     first = 0

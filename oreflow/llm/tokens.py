@@ -3,14 +3,30 @@
 from __future__ import annotations
 
 import os
+import sys
+from types import SimpleNamespace
 
 import numpy as np
 
 # A character that the tokenizer turns into one id when it stands alone: it parts words encoded together.
 PART = "\x01"
 WORDS_TOGETHER = 256
-CACHED_WORDS = 300_000
-CACHED_BYTES = 24 << 20
+# Words held for later texts; those met when it is full are encoded each time.
+HELD_WORDS = 500_000
+LONGEST_HELD = 64
+
+# Texts with these are cut at white space only: marks can combine with a letter, "<|" may begin a special token.
+_SPECIAL = (b"<|", b"\xcc", b"\xcd")
+_LETTER, _MARK = 1, 2
+
+
+def _byte_classes() -> np.ndarray:
+    table = np.zeros(256, np.uint8)
+    table[ord("a") : ord("z") + 1] = _LETTER
+    for mark in range(ord("!"), 127):
+        if not chr(mark).isalnum() and mark != ord("'"):
+            table[mark] = _MARK
+    return table
 
 
 class _Words(dict):
@@ -29,9 +45,9 @@ class _Words(dict):
 class Encoder:
     """Ids of texts, an end id after each, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
 
-    For vocabularies that drop white space and never merge across it: the ids of a text are then those of
-    its words, one after the other.  Each distinct word goes through the library once while it is held in
-    a cache of bounded size.
+    For vocabularies of lower-case words that drop white space and merge neither across it nor from letters to
+    punctuation.  Texts are cut there, A-Z lowered, and each distinct word goes through the library once while
+    it is held; what is held is bounded.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -44,61 +60,75 @@ class Encoder:
         if len(part) != 1:
             raise ValueError("the tokenizer has no single id for the parting character")
         self.part_id = part[0]
-        self._forget()
-
-    def _forget(self) -> None:
-        self.words, self.bytes = _Words(), 0
+        self.classes = _byte_classes()
+        self.words = _Words()
         self.words[None] = 0  # stands for the end of a text
-        self.flat = np.array([self.end_id], np.uint32)
+        self.flat = np.array([end_id], np.uint32)
         self.lengths = np.array([1], np.int64)
 
     def _of_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words, and how many each has."""
-        odd = {i for i, w in enumerate(words) if PART.encode() in w}
-        decoded = [PART if i in odd else w.decode() for i, w in enumerate(words)]
-        plain = [w for i, w in enumerate(decoded) if i not in odd]
-        groups = [plain[i : i + WORDS_TOGETHER] for i in range(0, len(plain), WORDS_TOGETHER)]
-        encoded = self.tokenizer.encode_batch_fast(
-            [f" {PART} ".join(g) + f" {PART}" for g in groups], add_special_tokens=False
-        )
-        ids = np.concatenate([np.array(e.ids, np.uint32) for e in encoded] or [np.empty(0, np.uint32)])
+        odd = [i for i, w in enumerate(words) if b"\x01" in w]
+        if odd:
+            # Words with the parting character inside go alone.
+            plain = self._of_words([b"" if b"\x01" in w else w for w in words])
+            pieces = np.split(plain[0], np.cumsum(plain[1])[:-1])
+            for i in odd:
+                pieces[i] = np.array(self.tokenizer.encode(words[i].decode(), add_special_tokens=False).ids, np.uint32)
+            return np.concatenate(pieces), np.array([len(p) for p in pieces], np.int64)
+        groups = [b" \x01 ".join(words[i : i + WORDS_TOGETHER]) for i in range(0, len(words), WORDS_TOGETHER)]
+        encoded = self.tokenizer.encode_batch_fast([g.decode() + f" {PART}" for g in groups], add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in encoded])
         parts = np.flatnonzero(ids == self.part_id)
-        if len(parts) != len(plain):
+        if len(parts) != len(words):
             raise ValueError("words came back from the tokenizer in another number")
-        lengths = np.diff(parts, prepend=-1) - 1
-        ids = np.delete(ids, parts)
-        if not odd:
-            return ids, lengths
-        pieces, done = [], iter(np.split(ids, np.cumsum(lengths)[:-1]) if len(plain) else [])
-        for i, w in enumerate(words):
-            alone = i in odd
-            pieces.append(
-                np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32)
-                if alone
-                else next(done)
-            )
-        return np.concatenate(pieces), np.array([len(p) for p in pieces], np.int64)
+        return np.delete(ids, parts), np.diff(parts, prepend=-1) - 1
+
+    def _cut(self, text: bytes) -> list[bytes]:
+        if any(s in text for s in _SPECIAL):
+            return text.split()
+        codes = np.frombuffer(text := text.lower(), np.uint8)
+        kind = self.classes[codes]
+        # Between a letter a-z and a mark, either way round.
+        edges = np.flatnonzero(kind[:-1] + kind[1:] == _LETTER + _MARK)
+        edges = edges[(kind[edges] > 0) & (kind[edges + 1] > 0)] + 1
+        return np.insert(codes, edges, 32).tobytes().split() if len(edges) else text.split()
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the length of each text's ids (its end id included)."""
-        if len(self.words) > CACHED_WORDS or self.bytes > CACHED_BYTES:
-            self._forget()
+        if not texts:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
         words, counts = [], np.empty(len(texts), np.int64)
         for i, text in enumerate(texts):
-            own = text.split()
+            own = self._cut(text) if text else []
             counts[i] = len(own) + 1
             words += own
             words.append(None)
+        known = len(self.words)
         numbers = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        flat, all_lengths = self.flat, self.lengths
         if new := self.words.new:
             ids, lengths = self._of_words(new)
-            self.bytes += sum(map(len, new))
-            self.flat = np.concatenate([self.flat, ids])
-            self.lengths = np.concatenate([self.lengths, lengths])
-            self.words.new = []
-        starts = np.cumsum(self.lengths) - self.lengths
-        lengths = self.lengths[numbers]
+            flat, all_lengths = np.concatenate([flat, ids]), np.concatenate([all_lengths, lengths])
+        starts = np.cumsum(all_lengths) - all_lengths
+        lengths = all_lengths[numbers]
         ends = np.cumsum(lengths)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[numbers] - (ends - lengths), lengths)
-        per_text = np.diff(ends[np.cumsum(counts) - 1], prepend=0) if len(texts) else np.empty(0, np.int64)
-        return self.flat[at], per_text
+        at = np.arange(ends[-1]) + np.repeat(starts[numbers] - (ends - lengths), lengths)
+        out = flat[at], np.diff(ends[np.cumsum(counts) - 1], prepend=0)
+        if new:
+            if known + len(new) <= HELD_WORDS and max(map(len, new)) <= LONGEST_HELD:
+                self.flat, self.lengths = flat, all_lengths
+            else:
+                # Numbers must stay without a gap, so what does not fit is forgotten together.
+                for word in new:
+                    del self.words[word]
+            self.words.new = []
+        return out
+
+
+def encoder(path: str, end_id: int) -> Encoder:
+    """The worker process's own encoder, kept between its tasks with the words it holds."""
+    held = sys.modules.setdefault("_oreflow_encoders", SimpleNamespace(by_key={})).by_key
+    if (path, end_id) not in held:
+        held[path, end_id] = Encoder(path, end_id)
+    return held[path, end_id]
