@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oreflow.llm.common import as_batch, column, slices
-from oreflow.llm.tokens import Encoder
+from oreflow.llm.tokens import encoder
 from oreflow.session import written
 
 WINDOW = 4096
@@ -26,13 +26,13 @@ _TOKENS = pa.schema(
 )
 
 
-def _tokenize(tokenizer: str, end_id: int):
+def _tokenize(tokenizer: str, end_id: int, width: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
+        size = np.dtype(width).itemsize
         for batch in batches:
-            encoder = encoder or Encoder(tokenizer, end_id)
+            words = encoder(tokenizer, end_id)
             for part, texts in slices(batch, "text"):
-                ids, lengths = encoder.encode(texts)
+                ids, lengths = words.encode(texts)
                 ends = np.cumsum(lengths)
                 starts = ends - lengths
                 least = []
@@ -40,13 +40,13 @@ def _tokenize(tokenizer: str, end_id: int):
                     mixed = (ids.astype(np.uint64) * np.uint64(multiplier)) & np.uint64(0xFFFFFFFF)
                     mixed[ids == end_id] = 0xFFFFFFFF
                     least.append(np.minimum.reduceat(mixed, starts).astype(np.int64))
-                raw = ids.astype("<u4").tobytes()
+                raw = ids.astype(width).tobytes()
                 yield as_batch(
                     _TOKENS,
                     {
                         "doc_id": part.column(0),
                         "copy": part.column(1),
-                        "ids": [raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())],
+                        "ids": [raw[size * a : size * b] for a, b in zip(starts.tolist(), ends.tolist())],
                         "near": least[0],
                         "near_too": least[1],
                     },
@@ -55,29 +55,38 @@ def _tokenize(tokenizer: str, end_id: int):
     return run
 
 
-def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def term_counts(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, id, occurrences) of every distinct id of every document, in order of document and id."""
+    owner = np.repeat(np.arange(len(docs), dtype=np.int64), [len(d) for d in docs])
+    pairs = np.sort(owner << 32 | np.concatenate(docs).astype(np.int64))
+    first = np.flatnonzero(np.diff(pairs, prepend=-1))
+    counts = np.diff(first, append=len(pairs))
+    return pairs[first] >> 32, pairs[first] & 0xFFFFFFFF, counts
+
+
+def _document_counts(width: str):
     """How many documents of this task hold each id: one row per id of the vocabulary at most."""
-    counts = np.zeros(0, np.int64)
-    for batch in batches:
-        for raw in batch.column(0):
-            ids = np.unique(np.frombuffer(raw.as_buffer(), "<u4"))
-            if ids[-1] >= len(counts):
-                counts = np.concatenate([counts, np.zeros(int(ids[-1]) + 1 - len(counts), np.int64)])
-            counts[ids] += 1
-    held = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(counts[held])], names=["id", "docs"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                docs = [np.frombuffer(raw, width) for raw in batch.column(0).slice(at, 256).to_pylist()]
+                here = np.bincount(term_counts(docs)[1], minlength=len(total))
+                here[: len(total)] += total
+                total = here
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["id", "docs"])
+
+    return run
 
 
 class Index:
     """BM25 over the documents of a shard, with idf and mean length of the whole corpus."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float):
-        found = [np.unique(d, return_counts=True) for d in docs]
-        self.terms = [t for t, _ in found]
-        sizes = np.array([len(t) for t in self.terms])
-        terms = np.concatenate(self.terms)
-        counts = np.concatenate([c for _, c in found]).astype(np.float32)
-        owner = np.repeat(np.arange(len(docs)), sizes)
+        owner, terms, counts = term_counts(docs)
+        self.terms = np.split(terms, np.searchsorted(owner, np.arange(1, len(docs))))
         lengths = np.array([len(d) for d in docs], np.float32)[owner]
         weight = idf[terms] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * lengths / mean_length))
         order = np.argsort(terms, kind="stable")
@@ -152,7 +161,7 @@ def pack_shard(names: list, docs: list[np.ndarray], windows: _Windows, idf: np.n
                 break
 
 
-def _pack(window: int, idf: np.ndarray, mean_length: float, shard_ids: int):
+def _pack(window: int, idf: np.ndarray, mean_length: float, shard_ids: int, width: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = _Windows(window)
         names: list[tuple] = []
@@ -178,7 +187,7 @@ def _pack(window: int, idf: np.ndarray, mean_length: float, shard_ids: int):
             own = [batch.column(batch.schema.get_field_index(n)) for n in ("doc_id", "copy", "ids", "part")]
             for doc_id, copy, raw, part_ in zip(*own):
                 part = part_.as_py()
-                docs.append(np.frombuffer(raw.as_py(), "<u4"))
+                docs.append(np.frombuffer(raw.as_py(), width))
                 names.append((doc_id.as_py(), copy.as_py()))
                 held += len(docs[-1])
                 if held >= shard_ids:
@@ -218,15 +227,20 @@ def pack(
         F.monotonically_increasing_id().alias("copy"),
         column(text_column).cast("string").alias("text"),
     )
+    # Two bytes an id where the vocabulary allows it, on the way and in memory.
+    from tokenizers import Tokenizer
+
+    width = "<u2" if max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
     tokens = written(
         rows.mapInArrow(
-            _tokenize(tokenizer, end_id), "doc_id bigint, copy bigint, ids binary, near bigint, near_too bigint"
+            _tokenize(tokenizer, end_id, width), "doc_id bigint, copy bigint, ids binary, near bigint, near_too bigint"
         )
     )
-    total = tokens.agg(F.count(F.lit(1)).alias("docs"), F.sum(F.octet_length("ids") / 4).alias("ids")).first()
+    total = tokens.agg(F.count(F.lit(1)).alias("docs"), (F.sum(F.octet_length("ids")) / np.dtype(width).itemsize).alias("ids")).first()
     if not total.docs:
         return docs.sparkSession.createDataFrame([], SEQUENCES_DDL)
-    counts = tokens.select("ids").mapInArrow(_document_counts, "id bigint, docs bigint").groupBy("id").agg(F.sum("docs").alias("docs"))
+    counts = tokens.select("ids").mapInArrow(_document_counts(width), "id bigint, docs bigint")
+    counts = counts.groupBy("id").agg(F.sum("docs").alias("docs"))
     # At most one row per id of the vocabulary, however many documents there are.
     frequency = counts.toPandas()
     with_id = np.zeros(int(frequency["id"].max()) + 1)
@@ -235,7 +249,7 @@ def pack(
     order = ["near", "near_too", "doc_id", "copy"]
     ranged = tokens.repartitionByRange(*order).sortWithinPartitions(*order)
     return ranged.select("doc_id", "copy", "ids", F.spark_partition_id().alias("part")).mapInArrow(
-        _pack(window, idf, total.ids / total.docs, shard_ids), SEQUENCES_DDL
+        _pack(window, idf, total.ids / total.docs, shard_ids, width), SEQUENCES_DDL
     )
 
 

@@ -8,10 +8,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreflow.session import tune
+
+# Rows that Spark hands to Python at a time: texts are long, and Spark's own 10,000 would not be bounded by much.
+ARROW_ROWS = 1000
 # What one step inside a task holds of texts at a time, whatever the batch size.
 SLICE_BYTES = 4 << 20
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """Set what the operators rely on in a session someone else created."""
+    tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    return spark
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

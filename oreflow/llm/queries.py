@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from oreflow.llm.bitplanes import read_index, write_tokens
 from oreflow.llm.bm25_packing import pack, pieces
 from oreflow.llm.chat_format import format_conversations, read_back
-from oreflow.llm.common import read
+from oreflow.llm.common import read, ready
 from oreflow.llm.exact_dedup import exact_duplicates
 from oreflow.llm.line_chunks import dedup_line_chunks
 from oreflow.llm.mixing import mix, words_of
@@ -20,7 +20,7 @@ from oreflow.llm.pu_quality import classify
 from oreflow.llm.shuffle_shards import hypergeometric_shuffle
 from oreflow.llm.simhash import near_duplicates
 from oreflow.llm.va_search import top_products
-from oreflow.session import shared_folder, tune, written
+from oreflow.session import shared_folder, written
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -32,7 +32,7 @@ ORACLES: dict[str, str] = {}
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(tune(spark), sf_dir)
+            return build(ready(spark), sf_dir)
 
         QUERIES[name] = run
         if sql:
