@@ -20,7 +20,7 @@ from oreflow.llm.common import column, fresh, slices
 from oreflow.session import written
 
 # Rows of each kind that the model is fitted on at most; everything else covers all rows.
-FITTED_ROWS = 6000
+FITTED_ROWS = 3000
 THRESHOLD = 0.3
 
 # Classes of bytes: lower case, upper case, digit, blank, line end, bytes above 127, other controls,
@@ -93,8 +93,9 @@ class Model:
 
 def _descend(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, steps: int, ridge: float):
     """Adam on the non-negative risk; without a prior, plain logistic regression of positive against unlabelled."""
-    weights, bias = np.zeros(positive.shape[1]), 0.0
-    first, second = np.zeros(len(weights) + 1), np.zeros(len(weights) + 1)
+    # Single precision throughout, or every step would copy the rows.
+    weights, bias = np.zeros(positive.shape[1], np.float32), np.float32(0)
+    first, second = np.zeros(len(weights) + 1, np.float32), np.zeros(len(weights) + 1, np.float32)
     for step in range(1, steps + 1):
         zp, zu = positive @ weights + bias, unlabelled @ weights + bias
         sp, su = 1 / (1 + np.exp(-np.clip(zp, -30, 30))), 1 / (1 + np.exp(-np.clip(zu, -30, 30)))
@@ -108,10 +109,11 @@ def _descend(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None,
             else:
                 # The estimate of the negatives' loss has gone below zero: step back out of it.
                 gp, gu = prior * sp / len(sp), -su / len(su)
-        gradient = np.append(gp @ positive + gu @ unlabelled + ridge * weights, gp.sum() + gu.sum())
-        first = 0.9 * first + 0.1 * gradient
-        second = 0.999 * second + 0.001 * gradient**2
-        move = 0.03 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        gp, gu = gp.astype(np.float32), gu.astype(np.float32)
+        gradient = np.append(gp @ positive + gu @ unlabelled + np.float32(ridge) * weights, gp.sum() + gu.sum())
+        first = np.float32(0.9) * first + np.float32(0.1) * gradient
+        second = np.float32(0.999) * second + np.float32(0.001) * gradient**2
+        move = (0.03 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
         weights, bias = weights - move[:-1], bias - move[-1]
     return weights, bias
 
@@ -137,8 +139,9 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 250, ridge: f
     if not len(positive) or not len(unlabelled):
         return Model([0.0] * FEATURES, [1.0] * FEATURES, [0.0] * FEATURES, 0.0, 0.5)
     both = np.concatenate([positive, unlabelled])
-    mean, scale = both.mean(axis=0), np.maximum(both.std(axis=0), 1e-3)
-    positive, unlabelled = (positive - mean) / scale, (unlabelled - mean) / scale
+    mean, scale = both.mean(axis=0), np.maximum(both.std(axis=0), np.float32(1e-3))
+    both = (both - mean) / scale
+    positive, unlabelled = both[: len(positive)], both[len(positive) :]
     weights, bias = _descend(positive[::2], unlabelled[::2], None, steps, ridge)
     held = [rows[1::2] if len(rows) > 1 else rows for rows in (positive, unlabelled)]
     prior = class_prior(*(rows @ weights + bias for rows in held))
