@@ -19,6 +19,8 @@ SLICE_BYTES = 4 << 20
 def ready(spark: SparkSession) -> SparkSession:
     """Set what the operators rely on in a session someone else created."""
     tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    # Texts that one step has shuffled and written need not wait on disk for the driver's garbage collector.
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 
