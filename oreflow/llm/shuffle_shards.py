@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from oreflow.llm.common import fresh
+from oreflow.llm.common import column, fresh
 from oreflow.session import written
 
 # Beyond so many standard deviations from the mode no 53-bit random number can land.
@@ -212,5 +212,5 @@ def hypergeometric_shuffle(docs: DataFrame, shards: int = 40, seed: int = 17, ce
         dealt.withColumn("slot", F.row_number().over(second).cast("long") - 1)
         .join(offsets, ["shard", cell])
         .withColumn("slot", F.col("slot") + F.col(until))
-        .drop(part, key, rank, cell, until)
+        .select(*[column(c) for c in docs.columns], "shard", "slot")
     )
