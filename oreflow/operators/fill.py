@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.operators.groups import HEAVY_ROWS, with_group_stats
+from oreflow.operators.groups import with_group_stats
 
 
-def fill_from_siblings(
-    df: DataFrame, group: str, column: str, into: str, heavy_rows: int = HEAVY_ROWS
-) -> DataFrame:
+def fill_from_siblings(df: DataFrame, group: str, column: str, into: str) -> DataFrame:
     """Add ``into``: the row's own value, or where it is NULL the largest one in its group."""
-    lent = with_group_stats(df, [group], {"_lent": F.max(F.col(column))}, heavy_rows=heavy_rows)
+    lent = with_group_stats(df, [group], {"_lent": F.max(F.col(column))})
     return lent.withColumn(into, F.coalesce(F.col(column), F.col("_lent"))).drop("_lent")

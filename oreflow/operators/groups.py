@@ -1,8 +1,7 @@
 """Group statistics that stay whole when one key holds a large share of the rows.
 
-A plain window sends every row of a key to one task.  Here the keys with very many rows
-("heavy keys") are found first with a map-side combined count, and only those few travel
-as a broadcast; all other keys use the plain window.  Results are exact either way.
+A plain window sends every row of a key to one task.  Here the statistics are a map-side combined aggregate,
+and the rows meet them in a join, whose hot keys AQE splits.  There is no list of hot keys and no threshold.
 """
 
 from __future__ import annotations
@@ -11,64 +10,32 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-# A key is heavy from this many rows on ...
-HEAVY_ROWS = 1_000_000
-# ... and at most this many heavy keys are treated so: the hard bound on what is broadcast.
-# Keys beyond it keep to the plain (spilling) window, which is slower but equally exact.
-MAX_HEAVY_KEYS = 10_000
+# The hard bound on a broadcast list of crowded keys.
+MAX_CROWDED_KEYS = 10_000
 
 
-def heavy_keys(
-    df: DataFrame, keys: list[str], heavy_rows: int = HEAVY_ROWS, max_keys: int = MAX_HEAVY_KEYS
-) -> DataFrame:
-    """The keys with more than ``heavy_rows`` rows; never over ``max_keys`` of them.
+def with_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> DataFrame:
+    """Add ``agg OVER (PARTITION BY keys)`` columns; NULL keys form one group.
 
-    Only the key columns are read, and only (key, count) is shuffled.
+    ``df`` is evaluated twice, the first time with the columns that the statistics need only.
     """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > heavy_rows)
-        .orderBy(F.col("_rows").desc(), *keys)
-        .limit(max_keys)
-    )
+    names = {k: f"_group_{k}" for k in keys}
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(name)) for k, name in names.items()])
+    answers = df.groupBy(*keys).agg(*[c.alias(name) for name, c in stats.items()]).withColumnsRenamed(names)
+    return df.join(answers, match).select(*[F.col(c) for c in df.columns], *stats)
 
 
-def with_group_stats(
-    df: DataFrame,
-    keys: list[str],
-    stats: dict[str, Column],
-    heavy_rows: int = HEAVY_ROWS,
-    max_keys: int = MAX_HEAVY_KEYS,
-) -> DataFrame:
-    """Add ``agg OVER (PARTITION BY keys)`` columns.
+def crowded_keys(df: DataFrame, key: str, rows: int, max_keys: int = MAX_CROWDED_KEYS) -> DataFrame:
+    """The keys with more than ``rows`` rows, the fullest first; never over ``max_keys`` of them.
 
-    Heavy keys take their values from a map-side combined aggregate over just their rows, one
-    broadcast row per heavy key.  Their rows are windowed by (key, input partition) instead, so
-    that no task gets more of them than one input split holds.  The input partition of a row is
-    the same when a task is run again, unlike a random salt, and it also separates identical
-    copies, unlike a hash of the row.
+    Only the key column is read, and only (key, count) is shuffled.
     """
-    names = {k: f"_heavy_{k}" for k in keys}
-    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(name)) for k, name in names.items()])
-    heavy = heavy_keys(df, keys, heavy_rows, max_keys).withColumnsRenamed(names)
-    # As many rows as ``heavy`` has, hence the same bound.
-    answers = (
-        df.join(F.broadcast(heavy), match, "left_semi")
-        .groupBy(*keys)
-        .agg(*[c.alias(name) for name, c in stats.items()])
-        .select(*[F.col(k).alias(name) for k, name in names.items()], F.struct(*stats).alias("_heavy"))
-    )
-    marked = df.join(F.broadcast(answers), match, "left").withColumn(
-        "_slice", F.when(F.col("_heavy").isNotNull(), F.spark_partition_id()).otherwise(F.lit(-1))
-    )
-    window = Window.partitionBy(*keys, "_slice")
-    return marked.select(
-        *[F.col(c) for c in df.columns],
-        *[
-            F.when(F.col("_slice") >= 0, F.col("_heavy")[name]).otherwise(c.over(window)).alias(name)
-            for name, c in stats.items()
-        ],
+    return (
+        df.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > rows)
+        .orderBy(F.col("_rows").desc(), key)
+        .limit(max_keys)
+        .select(key)
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oreflow.functions.values import null_count
-from oreflow.operators.groups import HEAVY_ROWS, with_group_stats
+from oreflow.operators.groups import with_group_stats
 
 
 def survivors(
@@ -15,7 +15,6 @@ def survivors(
     record_id: str,
     date: str,
     described_by: list[str],
-    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Keep the fullest, then latest records of each key.
 
@@ -40,7 +39,6 @@ def survivors(
             "_least": F.min(nulls),
             **{f"_latest_{n}": F.max(F.when((nulls == n) & usable, F.col(date))) for n in levels},
         },
-        heavy_rows=heavy_rows,
     )
     # Only rows with _nulls = _least are compared, so the row's own level is the right one.
     latest = F.coalesce(*[F.when(nulls == n, F.col(f"_latest_{n}")) for n in levels])

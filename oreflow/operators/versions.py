@@ -10,9 +10,9 @@ from pyspark.sql.types import IntegerType
 from pyspark.sql.window import Window
 
 from oreflow.functions.values import or_open_end
-from oreflow.operators.groups import HEAVY_ROWS, MAX_HEAVY_KEYS, heavy_keys
+from oreflow.operators.groups import crowded_keys
 
-# Ids of a heavy key are cut into runs of 2**SLICE_BITS, and the runs into runs again
+# Ids of a key are cut into runs of 2**SLICE_BITS, and the runs into runs again
 # until one task can hold what is left: once for 32-bit ids, twice for 64-bit ids.
 SLICE_BITS = 21
 
@@ -23,47 +23,28 @@ def chain_end_dates(
     version_id: str,
     start: str,
     end: str,
-    heavy_rows: int = HEAVY_ROWS,
     slice_bits: int = SLICE_BITS,
 ) -> DataFrame:
     """Replace a missing or impossible end (before its start) by the day before the next version.
 
     The next version is the one with the next larger integer ``version_id`` of the same key,
     whatever its start.  Rows without an id are dropped, a valid end is kept and the last
-    version stays open.  Copies of an id all see the same next version.
+    version stays open.  Copies of an id all see the same next version, and count as one version that
+    starts at the earliest start known among them.
+
+    Copies are collapsed to one point per id first; the points are chained slice by slice, so no task needs
+    a whole key, and each row looks its id up.
     """
     rows = df.where(F.col(version_id).isNotNull())
-    heavy = F.broadcast(heavy_keys(rows, [key], heavy_rows=heavy_rows).select(F.col(key).alias("_heavy")))
-    is_heavy = F.col(key).eqNullSafe(F.col("_heavy"))
-    usual = rows.join(heavy, is_heavy, "left_anti")
-    crowded = rows.join(heavy, is_heavy, "left_semi")
-
-    # Walking the ids downwards, "all larger ids" is a frame that only grows: one pass per key.
-    larger_ids = (
-        Window.partitionBy(key)
-        .orderBy(F.col(version_id).cast("long").desc())
-        .rangeBetween(Window.unboundedPreceding, -1)
-    )
-    upcoming = F.min(F.struct(F.col(version_id).cast("long"), F.col(start).alias("start"))).over(larger_ids)
-    usual = usual.withColumn("_next", upcoming["start"])
-
-    # A heavy key: collapse copies to one point per id, chain the points slice by slice, look up.
-    points = crowded.groupBy(F.col(key).alias("_key"), F.col(version_id).cast("long").alias("_id")).agg(
+    points = rows.groupBy(F.col(key).alias("_key"), F.col(version_id).cast("long").alias("_id")).agg(
         F.min(start).alias("_start")
     )
     id_bits = 31 if isinstance(df.schema[version_id].dataType, IntegerType) else 63
     following = _next_start(points, slice_bits, levels=math.ceil(id_bits / slice_bits) - 1)
-    crowded = (
-        crowded.join(
-            following,
-            F.col(key).eqNullSafe(F.col("_key")) & (F.col(version_id).cast("long") == F.col("_id")),
-            "left",
-        )
-        .drop("_key", "_id", "_start")
-    )
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col(version_id).cast("long") == F.col("_id"))
     unusable = F.col(end).isNull() | (F.col(start) > F.col(end))
     return (
-        usual.unionByName(crowded)
+        rows.join(following, same)
         .withColumn(end, F.when(unusable, F.date_sub("_next", 1)).otherwise(F.col(end)))
         .select(*df.columns)
     )
@@ -121,11 +102,7 @@ def version_join(
     ranges = versions.select(
         F.col(version_key).alias("_key"), F.col(start).alias("_from"), or_open_end(F.col(end)).alias("_to"), *take
     ).where("_key IS NOT NULL AND _from <= _to")
-    crowded = F.broadcast(
-        heavy_keys(ranges, ["_key"], heavy_rows=crowded_versions, max_keys=MAX_HEAVY_KEYS).select(
-            F.col("_key").alias("_crowded")
-        )
-    )
+    crowded = F.broadcast(crowded_keys(ranges, "_key", crowded_versions).select(F.col("_key").alias("_crowded")))
     in_crowd = F.col("_key") == F.col("_crowded")
     fact_in_crowd = F.col(fact_key) == F.col("_crowded")
     valid = F.col(on_date).between(F.col("_from"), F.col("_to"))

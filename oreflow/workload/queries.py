@@ -342,6 +342,27 @@ def _(spark, sf_dir):
     return chain_end_dates(derive(spark, sf_dir, _HISTORY), "owner", "version", "since", "until")
 
 
+# Several rows share a version id, some of them without a start.
+_COPIES = """SELECT o_custkey % 7 AS owner, o_orderkey DIV 4 AS version, o_orderkey AS record,
+       CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE cast(o_orderdate AS date) END AS since,
+       CASE WHEN o_orderkey % 5 = 0 THEN date '2030-01-01' ELSE NULL END AS until FROM {orders}"""
+
+
+@query(
+    "chain_copies",
+    f"""WITH copies AS ({_COPIES.replace('DIV', '//').format(orders='orders')}),
+following AS (
+  SELECT owner, version, lead(min(since)) OVER (PARTITION BY owner ORDER BY version) AS next_start
+  FROM copies GROUP BY owner, version
+)
+SELECT owner, version, record, since,
+       CASE WHEN until IS NULL OR since > until THEN next_start - 1 ELSE until END AS until
+FROM copies JOIN following USING (owner, version)""",
+)
+def _(spark, sf_dir):
+    return chain_end_dates(derive(spark, sf_dir, _COPIES), "owner", "version", "since", "until", slice_bits=11)
+
+
 _SIGNUPS = """SELECT user_id AS owner, event_id AS version, cast(ts AS date) AS since, cast(NULL AS date) AS until
 FROM {events} WHERE event_type = 'signup'"""
 _ACTIONS = """SELECT event_id, user_id, event_type, CASE WHEN event_id % 17 <> 0 THEN cast(ts AS date) END AS day
@@ -375,8 +396,7 @@ def _(spark, sf_dir):
     return fill_from_siblings(derive(spark, sf_dir, _SHIPMENTS), "l_orderkey", "shipped", "shipped_or_lent")
 
 
-# -- the same with hot groups: a few keys hold all rows, and the limits are set low enough that
-#    every one of them takes the path for heavy keys ------------------------------------------------
+# -- the same with hot groups: a few keys hold all rows; ids fall into many slices ------------------
 
 
 @query(
@@ -393,7 +413,7 @@ def _(spark, sf_dir):
         F.nullif("o_orderpriority", F.lit("5-LOW")).alias("priority"),
         F.col("o_orderdate").cast("date").alias("day"),
     )
-    return survivors(records, "o_orderstatus", "o_orderkey", "day", ["priority"], heavy_rows=100)
+    return survivors(records, "o_orderstatus", "o_orderkey", "day", ["priority"])
 
 
 @query(
@@ -403,7 +423,7 @@ FROM ({_SHIPMENTS.format(lineitem='lineitem')})""",
 )
 def _(spark, sf_dir):
     lines = derive(spark, sf_dir, _SHIPMENTS)
-    return fill_from_siblings(lines, "l_linenumber", "shipped", "shipped_or_lent", heavy_rows=100)
+    return fill_from_siblings(lines, "l_linenumber", "shipped", "shipped_or_lent")
 
 
 _BY_TYPE = """SELECT event_type, cast(event_id AS int) AS version, cast(ts AS date) AS since,
@@ -417,7 +437,7 @@ FROM ({_BY_TYPE.format(events='events')})""",
 )
 def _(spark, sf_dir):
     versions = derive(spark, sf_dir, _BY_TYPE)
-    return chain_end_dates(versions, "event_type", "version", "since", "until", heavy_rows=50, slice_bits=11)
+    return chain_end_dates(versions, "event_type", "version", "since", "until", slice_bits=11)
 
 
 _DAYS = """SELECT event_id, event_type, CASE WHEN event_id % 17 <> 0 THEN cast(ts AS date) END AS day FROM {events}"""

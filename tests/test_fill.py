@@ -1,20 +1,17 @@
 import datetime
 
-import pytest
-
 from oreflow.operators.fill import fill_from_siblings
-from oreflow.operators.groups import heavy_keys, with_group_stats
+from oreflow.operators.groups import crowded_keys, with_group_stats
 from pyspark.sql import functions as F
 
 D = datetime.date
 
 
-@pytest.mark.parametrize("heavy_rows", [0, 1, 1000])
-def test_fill(rows, heavy_rows):
+def test_fill(rows):
     data = [(1, 1, None), (2, 1, D(2021, 5, 1)), (3, 1, D(2021, 4, 1)), (4, 2, None), (5, None, None),
             (6, None, D(2020, 1, 1)), (7, 3, D(2019, 1, 1))]
     df = rows(data, "row int, grp int, day date").repartition(3)
-    got = fill_from_siblings(df, "grp", "day", "filled", heavy_rows=heavy_rows).collect()
+    got = fill_from_siblings(df, "grp", "day", "filled").collect()
     assert {r["row"]: r["filled"] for r in got} == {
         1: D(2021, 5, 1), 2: D(2021, 5, 1), 3: D(2021, 4, 1), 4: None, 5: D(2020, 1, 1), 6: D(2020, 1, 1),
         7: D(2019, 1, 1),
@@ -22,15 +19,17 @@ def test_fill(rows, heavy_rows):
     assert {r["row"]: r["day"] for r in got} == {r[0]: r[2] for r in data}
 
 
-def test_heavy_keys_are_few_and_the_heaviest(spark):
+def test_crowded_keys(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("k")).union(spark.range(500).select(F.lit(3).alias("k")))
-    heavy = heavy_keys(df, ["k"], heavy_rows=100, max_keys=2).collect()
-    assert len(heavy) == 2 and heavy[0]["k"] == 3 and heavy[0]["_rows"] == 643
+    assert [r["k"] for r in crowded_keys(df, "k", 600).collect()] == [3]
+    assert crowded_keys(df, "k", 100).count() == 7
 
 
-@pytest.mark.parametrize("max_keys", [0, 1, 10])
-def test_keys_beyond_the_bound_are_still_exact(spark, max_keys):
-    df = spark.range(400, numPartitions=5).select((F.col("id") % 4).alias("k"), F.col("id").alias("v"))
-    got = with_group_stats(df, ["k"], {"n": F.count("v"), "top": F.max("v")}, heavy_rows=10, max_keys=max_keys)
-    assert {(r["k"], r["n"], r["top"]) for r in got.collect()} == {(k, 100, 396 + k) for k in range(4)}
+def test_group_stats_of_several_keys(spark):
+    df = spark.range(400, numPartitions=5).select(
+        F.when(F.col("id") % 4 > 0, F.col("id") % 4).alias("k"), F.lit(None).cast("int").alias("none"), F.col("id").alias("v")
+    )
+    got = with_group_stats(df, ["k", "none"], {"n": F.count("v"), "top": F.max("v")})
+    assert got.columns == ["k", "none", "v", "n", "top"]
+    assert {(r["k"], r["n"], r["top"]) for r in got.collect()} == {(k or None, 100, 396 + k) for k in range(4)}
     assert got.count() == 400

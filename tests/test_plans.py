@@ -41,23 +41,21 @@ def test_no_python_and_no_products(spark, name):
         assert node not in plan
 
 
-def test_group_statistics_cost_one_shuffle_of_the_rows(spark):
-    plan = executed(survivors(orders(spark), "o_custkey", "o_orderkey", "day", ["o_orderstatus", "o_orderpriority"]))
-    # Without heavy keys AQE removes the lookup; what is left is one exchange and one window.
-    assert len(re.findall(r"\bExchange ", plan)) == 1 and len(re.findall(r"\bWindow ", plan)) == 1
-    assert "Join" not in plan
+def test_group_statistics_read_twice_and_need_no_window(spark):
+    plan = planned(survivors(orders(spark), "o_custkey", "o_orderkey", "day", ["o_orderstatus", "o_orderpriority"]))
+    assert len(re.findall(r"\bFileScan ", plan)) <= 2 and "Window" not in plan
 
 
-def test_chaining_without_heavy_keys_is_one_window(spark):
-    plan = executed(chain_end_dates(orders(spark).withColumn("end", F.lit(None).cast("date")), "o_custkey", "o_orderkey", "day", "end"))
-    assert len(re.findall(r"\bExchange ", plan)) == 1 and "Join" not in plan and "Union" not in plan
+def test_product_versions_are_scanned_few_times(spark):
+    plan = planned(QUERIES["silver_prd_info"](spark, SF))
+    assert len(re.findall(r"\bFileScan ", plan)) <= 12
 
 
 def test_scans_read_only_what_is_needed(spark):
     filled = fill_from_siblings(orders(spark), "o_custkey", "day", "filled").select("o_orderkey", "filled")
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", planned(filled))
     assert scans and all("o_totalprice" not in s and "o_orderpriority" not in s for s in scans)
-    # The heavy-key count reads the key and the date only.
+    # The statistics read the key and the date only.
     assert any("o_orderkey" not in s for s in scans)
 
 
@@ -77,7 +75,8 @@ def test_small_dimension_is_broadcast_and_facts_are_shuffled_once(spark):
     tables = written_silver(spark, SF)
     plan = executed(gold.fact_sales(tables, gold.dim_product(tables)))
     assert "BroadcastHashJoin" in plan
-    assert len(re.findall(r"\bExchange hashpartitioning\(sls_ord_num#\d+, _slice", plan)) == 1
+    # One exchange of the statistics, and one of the rows where they do not meet them by broadcast.
+    assert len(re.findall(r"\bExchange hashpartitioning\(.*sls_ord_num#\d+", plan)) <= 2
     assert "sls_sales" not in str(re.findall(r"keys=\[sls_ord_num.*", plan))
 
 
@@ -141,7 +140,7 @@ def test_hot_customer_key_is_split_across_both_joins(spark, large_tables):
     assert out.where("country_of_residence = 'France'").count() == 60000
 
 
-def test_heavy_key_rows_are_spread_over_input_partitions(spark):
-    out = fill_from_siblings(hot(spark), "key", "day", "filled", heavy_rows=1000)
+def test_a_hot_group_is_split(spark, large_tables):
+    out = fill_from_siblings(hot(spark), "key", "day", "filled")
+    assert "SortMergeJoin(skew=true)" in executed(out)
     assert out.where("filled IS NULL").isEmpty()
-    assert "_slice" in planned(out) and "SPARK_PARTITION_ID" in planned(out)
