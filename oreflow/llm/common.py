@@ -13,7 +13,7 @@ from oreflow.session import tune
 # Rows that Spark hands to Python at a time: texts are long, and Spark's own 10,000 would not be bounded by much.
 ARROW_ROWS = 1000
 # What one step inside a task holds of texts at a time, whatever the batch size.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def ready(spark: SparkSession) -> SparkSession:

@@ -12,7 +12,7 @@ import numpy as np
 PART = "\x01"
 WORDS_TOGETHER = 256
 # Words held for later texts; those met when it is full are encoded each time.
-HELD_WORDS = 500_000
+HELD_WORDS = 400_000
 LONGEST_HELD = 64
 
 # Texts with these are cut at white space only: marks can combine with a letter, "<|" may begin a special token.
