@@ -270,8 +270,8 @@ def _(spark, sf_dir):
     "rules_money",
     """SELECT l_orderkey, l_partkey, l_linenumber, l_suppkey, cast(sales2 AS decimal(21,2)) AS filled_sales,
        cast(price2 AS decimal(10,2)) AS filled_price,
-       cast(CASE WHEN sales2 >= 0 AND sales2 <> price2 * qty THEN price2 * qty
-                 WHEN sales2 < 0 AND abs(sales2) <> price2 * qty THEN -(price2 * qty) ELSE sales2 END AS decimal(21,2)) AS reconciled,
+       cast(CASE WHEN abs(sales2) <> price2 * qty THEN price2 * qty * (CASE WHEN sales2 < 0 THEN -1 ELSE 1 END)
+                 ELSE sales2 END AS decimal(21,2)) AS reconciled,
        CASE WHEN sales2 IS NULL AND price2 IS NULL THEN 'Y' ELSE 'N' END AS incomplete
 FROM (SELECT *, coalesce(sales, qty * price) AS sales2,
              -- half up on whole cents, free of floating point
