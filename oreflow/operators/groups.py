@@ -11,9 +11,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The hard bound on a broadcast list of crowded keys.
-MAX_CROWDED_KEYS = 10_000
-
 
 def with_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> DataFrame:
     """Add ``agg OVER (PARTITION BY keys)`` columns; NULL keys form one group.
@@ -24,18 +21,3 @@ def with_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column]) -
     match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(name)) for k, name in names.items()])
     answers = df.groupBy(*keys).agg(*[c.alias(name) for name, c in stats.items()]).withColumnsRenamed(names)
     return df.join(answers, match).select(*[F.col(c) for c in df.columns], *stats)
-
-
-def crowded_keys(df: DataFrame, key: str, rows: int, max_keys: int = MAX_CROWDED_KEYS) -> DataFrame:
-    """The keys with more than ``rows`` rows, the fullest first; never over ``max_keys`` of them.
-
-    Only the key column is read, and only (key, count) is shuffled.
-    """
-    return (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > rows)
-        .orderBy(F.col("_rows").desc(), key)
-        .limit(max_keys)
-        .select(key)
-    )

@@ -10,7 +10,6 @@ from pyspark.sql.types import IntegerType
 from pyspark.sql.window import Window
 
 from oreflow.functions.values import or_open_end
-from oreflow.operators.groups import crowded_keys
 
 # Ids of a key are cut into runs of 2**SLICE_BITS, and the runs into runs again
 # until one task can hold what is left: once for 32-bit ids, twice for 64-bit ids.
@@ -87,61 +86,37 @@ def version_join(
     start: str,
     end: str,
     take: list[str],
-    crowded_versions: int = 100,
-    slice_days: int = 7,
 ) -> DataFrame:
     """Left join each fact with the versions of its key valid on its date (both ends included).
 
-    The key is an equi-join, so Spark broadcasts the versions if they are small and AQE splits a
-    hot key if not; the dates are a residual test.  That test is cheap while a key has few
-    versions.  Keys with more than ``crowded_versions`` are joined on (key, week) instead, each
-    version being listed under the weeks it covers within the facts' own date range.
+    Every key's days are cut into cells as wide as its versions last on average, up to the start of its
+    last version, after which nothing changes but ends.  A version is listed under each cell it touches,
+    so a key has at most three listings a version however its versions overlap, and a fact meets only those of
+    its own cell.  Facts are read once; both joins are equi-joins, which Spark broadcasts where the
+    versions are small and in which AQE splits a hot key where not.
     """
     fact_columns = [F.col(c) for c in facts.columns]
     taken = [F.col(c) for c in take]
     ranges = versions.select(
         F.col(version_key).alias("_key"), F.col(start).alias("_from"), or_open_end(F.col(end)).alias("_to"), *take
     ).where("_key IS NOT NULL AND _from <= _to")
-    crowded = F.broadcast(crowded_keys(ranges, "_key", crowded_versions).select(F.col("_key").alias("_crowded")))
-    in_crowd = F.col("_key") == F.col("_crowded")
-    fact_in_crowd = F.col(fact_key) == F.col("_crowded")
-    valid = F.col(on_date).between(F.col("_from"), F.col("_to"))
+    lasts = ranges.groupBy(F.col("_key").alias("_grid_key")).agg(F.max("_from").alias("_last"))
+    on_grid = F.col("_key") == F.col("_grid_key")
+    days = F.datediff(F.least("_to", "_last"), "_from") + 1
+    grid = ranges.join(lasts, on_grid).groupBy("_grid_key", "_last").agg(F.ceil(F.avg(days)).cast("int").alias("_width"))
 
-    usual = (
-        facts.join(crowded, fact_in_crowd, "left_anti")
-        .join(ranges.join(crowded, in_crowd, "left_anti"), (F.col(fact_key) == F.col("_key")) & valid, "left")
-        .select(*fact_columns, *taken)
+    listed = ranges.join(grid, on_grid).select(
+        "_key", "_from", "_to", *taken, F.explode(F.sequence(_cell(F.col("_from")), _cell(F.col("_to")))).alias("_cell")
     )
-
-    busy = facts.join(crowded, fact_in_crowd, "left_semi")
-    first, last = (busy.select(f(on_date)).scalar() for f in (F.min, F.max))
-    # The listing is larger than Spark's estimate of it, so it must not be broadcast on that
-    # estimate; the sort-merge join spreads a key over its weeks, and AQE splits a hot week.
-    listed = (
-        ranges.join(crowded, in_crowd, "left_semi")
-        .where((F.col("_from") <= last) & (F.col("_to") >= first))
-        .withColumn(
-            "_week",
-            F.explode(
-                F.sequence(
-                    _slice_of(F.greatest(F.col("_from"), first), slice_days),
-                    _slice_of(F.least(F.col("_to"), last), slice_days),
-                )
-            ),
-        )
-        .hint("merge")
+    placed = facts.join(grid, F.col(fact_key) == F.col("_grid_key"), "left").withColumn(
+        "_fact_cell", _cell(F.col(on_date))
     )
-    sliced = (
-        busy.withColumn("_fact_week", _slice_of(F.col(on_date), slice_days))
-        .join(
-            listed,
-            (F.col(fact_key) == F.col("_key")) & (F.col("_fact_week") == F.col("_week")) & valid,
-            "left",
-        )
-        .select(*fact_columns, *taken)
-    )
-    return usual.unionByName(sliced)
+    same_cell = (F.col(fact_key) == F.col("_key")) & (F.col("_fact_cell") == F.col("_cell"))
+    valid = F.col(on_date).between(F.col("_from"), F.col("_to"))
+    return placed.join(listed, same_cell & valid, "left").select(*fact_columns, *taken)
 
 
-def _slice_of(day: Column, days: int) -> Column:
-    return F.floor(F.unix_date(day) / days).cast("int")
+def _cell(day: Column) -> Column:
+    """The cell of a day on its key's grid; NULL for a NULL day, which ``least`` alone would skip."""
+    cell = F.floor(F.unix_date(F.least(day, F.col("_last"))) / F.col("_width")).cast("int")
+    return F.when(day.isNotNull(), cell)

@@ -455,7 +455,7 @@ def _(spark, sf_dir):
     versions = written(chain_end_dates(derive(spark, sf_dir, _BY_TYPE), "event_type", "version", "since", "until"))
     return version_join(
         derive(spark, sf_dir, _DAYS), versions.withColumnRenamed("event_type", "kind"), "event_type", "day",
-        "kind", "since", "until", ["version"], crowded_versions=5,
+        "kind", "since", "until", ["version"],
     )
 
 

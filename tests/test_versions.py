@@ -94,18 +94,24 @@ def look_up_by_hand(facts, versions):
     return out
 
 
-@pytest.mark.parametrize("crowded_versions, slice_days", [(1000, 7), (0, 7), (3, 1), (2, 30)])
-def test_version_join_like_brute_force(rows, crowded_versions, slice_days):
-    rnd = random.Random(slice_days)
-    keys = [None, *map(str, range(40))]
-    facts = [(i, rnd.choice([*keys, "unknown"]), some_day(rnd, 90)) for i in range(300)]
-    versions = [(i, rnd.choice(keys), some_day(rnd, 90), some_day(rnd, 90)) for i in range(150)]
-    got = look_up(rows, facts, versions, crowded_versions=crowded_versions, slice_days=slice_days)
-    assert got == look_up_by_hand(facts, versions)
-
-
-def test_dates_before_1970_and_far_ends_in_the_sliced_path(rows):
-    facts = [(1, "k", D("1960-03-05")), (2, "k", D("2024-03-05")), (3, "other", D("2024-03-05"))]
+@pytest.mark.parametrize("keys, span", [(40, 90), (2, 90), (3, 5), (1, 20000)])
+def test_version_join_like_brute_force(rows, keys, span):
+    rnd = random.Random(keys)
+    keys = [None, *map(str, range(keys))]
+    facts = [(i, rnd.choice([*keys, "unknown"]), some_day(rnd, span)) for i in range(300)]
+    versions = [(i, rnd.choice(keys), some_day(rnd, span), some_day(rnd, span)) for i in range(150)]
+    assert look_up(rows, facts, versions) == look_up_by_hand(facts, versions)
+
+
+def test_dates_before_1970_and_far_ends(rows):
+    facts = [(1, "k", D("1960-03-05")), (2, "k", D("2024-03-05")), (3, "other", D("2024-03-05")), (4, "k", D("1899-12-31"))]
     versions = [(1, "k", D("1900-01-01"), D("1960-03-05")), (2, "k", D("1960-03-06"), None)]
-    got = look_up(rows, facts, versions, crowded_versions=1)
-    assert got == {(1, 1): 1, (2, 2): 1, (3, None): 1}
+    assert look_up(rows, facts, versions) == {(1, 1): 1, (2, 2): 1, (3, None): 1, (4, None): 1}
+
+
+def test_listings_are_bounded_where_versions_overlap(rows):
+    versions = [(i, "k", datetime.date(2020, 1, 1) + datetime.timedelta(days=i), None) for i in range(1000)]
+    out = version_join(
+        rows([(1, "k", D("2020-01-10"))], FACTS), rows(versions, VERSIONS), "key", "day", "vkey", "since", "until", ["vid"]
+    )
+    assert sorted(r["vid"] for r in out.collect()) == list(range(10))
