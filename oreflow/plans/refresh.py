@@ -18,6 +18,10 @@ from oreflow.sources import delimited
 from oreflow.sources.tables import Warehouse
 
 
+# The check that a source line has as many fields as its table has columns.
+MALFORMED = "malformed_lines"
+
+
 class LoadFailed(Exception):
     """A layer has steps that did not end in success, or has none at all."""
 
@@ -99,13 +103,32 @@ class Refresh:
                 self.step(BRONZE, table, lambda t=table, s=schema: delimited.read_delimited(spark, found[t], s))
 
     def check_bronze(self, source: str) -> None:
-        """Lines in the files against rows in the tables, and text within its declared width."""
+        """Lines in the files against rows in the tables, fields per line, and text within its declared width.
+
+        The scan pads short lines and cuts long ones, so one malformed line fails the layer.
+        """
+        spark = self.warehouse.spark
         tables = self.warehouse.read_layer(BRONZE, self.run_id)
-        lines = delimited.source_line_counts(self.warehouse.spark, source)
+        fields = {name: len(schema) for name, schema in BRONZE.tables.items()}
+        counted = (
+            delimited.source_line_counts(spark, source, fields=fields)
+            .groupBy("table")
+            .agg(F.sum("rows").alias("rows"), F.sum("malformed").alias("malformed"))
+        )
+        lines = spark.createDataFrame(counted.toArrow(), counted.schema)
         loaded = reduce(DataFrame.union, [row_count(df, name) for name, df in tables.items()])
         compared = reconcile(lines, loaded, ["table"], F.col("rows"), F.col("rows")).collect()
         report = self._report(BRONZE)
-        too_wide = {r["table"] for r in report.where(F.col("violations") > 0).collect()}
+        failed = [
+            {"check": r["outcome"], "table": r["table"], "columns": f"{r['left_rows']} != {r['right_rows']}"}
+            for r in compared
+            if r["outcome"] != MATCH
+        ]
+        failed += [
+            {"check": MALFORMED, "table": r["table"], "columns": str(r["malformed"])}
+            for r in lines.where("malformed > 0").orderBy("table").collect()
+        ]
+        bad = {f["table"] for f in failed} | {r["table"] for r in report.where(F.col("violations") > 0).collect()}
         self.log(
             "bronze",
             *[
@@ -113,20 +136,13 @@ class Refresh:
                     "step": f"bronze.load_{r['table']}",
                     "rows_read": r["left_rows"],
                     "rows_written": r["right_rows"],
-                    "validation_status": runlog.SUCCESS
-                    if r["outcome"] == MATCH and r["table"] not in too_wide
-                    else runlog.FAILED,
+                    "validation_status": runlog.FAILED if r["table"] in bad else runlog.SUCCESS,
                 }
                 for r in compared
             ],
         )
-        mismatches = [
-            {"check": r["outcome"], "table": r["table"], "columns": f"{r['left_rows']} != {r['right_rows']}"}
-            for r in compared
-            if r["outcome"] != MATCH
-        ]
-        if mismatches:
-            raise checks.ValidationFailed("bronze", mismatches)
+        if failed:
+            raise checks.ValidationFailed("bronze", failed)
         checks.gate("bronze", report)
 
     # -- silver ----------------------------------------------------------------------------

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,13 +42,25 @@ def bad_lines(spark: SparkSession, path: str | list[str], schema: StructType, en
 
 
 def table_name(file_path: Column) -> Column:
-    """``../<prefix>_crm/Cust_Info.csv`` -> ``crm_cust_info``: folder after its first ``_``, lower-case stem."""
-    parts = F.split(file_path, "/")
+    """``../<prefix>_crm/Cust_Info.csv`` -> ``crm_cust_info``: folder after its first ``_``, lower-case stem.
+
+    A folder named like a file that holds part files, ``Cust_Info.csv/part-0.csv``, counts as that file.
+    """
+    parts = F.split(_whole_file(file_path), "/")
     folder = F.regexp_replace(F.element_at(parts, -2), "^[^_]*_", "")
     stem = F.regexp_replace(F.element_at(parts, -1), "[.][^.]*$", "")
     return F.concat(folder, F.lit("_"), F.lower(stem))
 
 
+def _whole_file(file_path: Column) -> Column:
+    return F.regexp_replace(file_path, "([.][^./]+)/part-[^/]*$", "$1")
+
+
+def _file_path() -> Column:
+    """The path of a row's file as it is on disk; the metadata column has it percent-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file_path")
+
+
 def discover(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
     """Every matching file below ``root`` with its table name; contents are not read.
 
@@ -58,47 +70,79 @@ def discover(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFram
         spark.read.format("binaryFile")
         .options(recursiveFileLookup=True, pathGlobFilter=pattern)
         .load(root)
-        .select(F.col("_metadata.file_path").alias("file_path"), F.col("length"))
+        .select(_file_path(), F.col("length"))
     )
     return files.withColumn("table", table_name(F.col("file_path")))
 
 
-def source_line_counts(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
-    """Lines per non-empty file without the header, as (file_path, table, rows).
+def source_line_counts(
+    spark: SparkSession, root: str, pattern: str = "*.csv", fields: Mapping[str, int] | None = None
+) -> DataFrame:
+    """Lines per non-empty file without the header, as (file_path, table, rows, malformed).
 
     Counts raw lines, blank and malformed ones included, so it also catches what a parser
-    skips.  Large files are counted split by split.
+    skips.  Large files are counted split by split.  ``malformed`` are the blank lines and those that do not
+    have as many fields as ``fields`` says for the table; it is NULL for tables not named there.
     """
+    width = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit(""))) + 1
     lines = (
         spark.read.options(lineSep="\n", recursiveFileLookup=True, pathGlobFilter=pattern)
         .text(root)
-        .groupBy(F.col("_metadata.file_path").alias("file_path"))
-        .agg(F.count(F.lit(1)).alias("lines"))
+        .groupBy(
+            F.col("_metadata.file_path").alias("_encoded"),
+            F.when(~F.col("value").isin("", "\r"), width).otherwise(0).alias("_width"),
+        )
+        .agg(F.count(F.lit(1)).alias("_lines"))
+    )
+    # From here on there is one row per file and width, so names are worked out on few rows.
+    named = lines.select(
+        F.url_decode(F.replace("_encoded", F.lit("+"), F.lit("%2B"))).alias("file_path"), "_width", "_lines"
+    ).withColumn("table", table_name(F.col("file_path")))
+    expected = F.lit(None).cast("int")
+    for table, count in (fields or {}).items():
+        expected = F.when(F.col("table") == table, count).otherwise(expected)
+    wrong = F.when(expected.isNotNull(), F.when(F.col("_width") != expected, F.col("_lines")).otherwise(0))
+    return named.groupBy("file_path", "table").agg(
+        (F.sum("_lines") - 1).alias("rows"), F.sum(wrong).cast("bigint").alias("malformed")
     )
-    return lines.select("file_path", table_name(F.col("file_path")).alias("table"), (F.col("lines") - 1).alias("rows"))
 
 
 def tables_found(spark: SparkSession, root: str, pattern: str = "*.csv") -> dict[str, list[str]]:
-    """The tables below ``root``, each with one path pattern per folder that has files of it.
+    """The tables below ``root``, each with one path pattern per folder that has it.
 
     Reading by pattern leaves the listing of files to Spark; filtering rows by their file's name
-    would evaluate the naming rule once per row.
+    would evaluate the naming rule once per row.  Part files count as the folder that holds them.
     """
-    split = F.regexp_extract("file_path", "^(.*)/([^/]*)$", 1), F.regexp_extract("file_path", "^(.*)/([^/]*)$", 2)
+    whole = _whole_file(F.col("file_path"))
     found = (
         discover(spark, root, pattern)
-        .select("table", split[0].alias("folder"), F.lower(split[1]).alias("file"))
+        .select(
+            "table",
+            (whole != F.col("file_path")).alias("in_parts"),
+            F.regexp_extract(whole, "^(.*)/([^/]*)$", 1).alias("folder"),
+            F.lower(F.regexp_extract(whole, "^(.*)/([^/]*)$", 2)).alias("file"),
+        )
         .distinct()
-        .orderBy("table", "folder", "file")
+        .orderBy("table", "folder", "file", "in_parts")
         .collect()
     )
     tables: dict[str, list[str]] = {}
     for r in found:
-        any_case = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in unquote(r["file"]))
-        tables.setdefault(r["table"], []).append(f"{unquote(r['folder'])}/{any_case}")
+        path = f"{_literal(r['folder'])}/{_any_case(r['file'])}"
+        tables.setdefault(r["table"], []).append(f"{path}/part-*" if r["in_parts"] else path)
     return tables
 
 
+def _literal(name: str) -> str:
+    """``name`` as a path pattern that matches nothing else."""
+    return "".join(f"\\{c}" if c in "\\*?[]{},^-" else c for c in name)
+
+
+def _any_case(name: str) -> str:
+    """The pattern of a lower-case file name in any case; letters without a single capital match themselves."""
+    return "".join(f"[{c}{c.upper()}]" if len(c.upper()) == 1 and c.upper() != c else _literal(c) for c in name)
+
+
 def profile_files(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
     """One row per table and column below ``root``.
 

@@ -57,3 +57,29 @@ def test_tables_found_reads_every_folder_and_case(spark, tmp_path):
     found = delimited.tables_found(spark, str(tmp_path))
     assert set(found) == {"crm_x", "crm_xy"} and len(found["crm_x"]) == 2
     assert {r["a"] for r in delimited.read_delimited(spark, found["crm_x"], TWO).collect()} == {"1", "2"}
+
+
+@pytest.mark.parametrize("name", ["y[1].csv", "a b.csv", "50%.csv", "p+q.csv", "x{1,2}.csv", "straße.csv", "dash-[a-z].csv"])
+def test_odd_file_names(spark, tmp_path, name):
+    put(tmp_path / "s[0]_crm", name, b"a,b\n1,2\n")
+    put(tmp_path / "s[0]_crm", "y1.csv", b"a,b\n3,4\n")
+    found = delimited.tables_found(spark, str(tmp_path))
+    table = "crm_" + name.removesuffix(".csv")
+    assert set(found) == {table, "crm_y1"}
+    assert [r["a"] for r in delimited.read_delimited(spark, found[table], TWO).collect()] == ["1"]
+    assert {r["table"] for r in delimited.source_line_counts(spark, str(tmp_path)).collect()} == set(found)
+
+
+def test_part_files_are_one_table(spark, tmp_path):
+    for n in range(3):
+        put(tmp_path / "source_crm" / "Big.csv", f"part-{n}.csv", f"a,b\n{n},x\n".encode())
+    found = delimited.tables_found(spark, str(tmp_path))
+    assert list(found) == ["crm_big"] and len(found["crm_big"]) == 1
+    assert sorted(r["a"] for r in delimited.read_delimited(spark, found["crm_big"], TWO).collect()) == ["0", "1", "2"]
+
+
+def test_malformed_lines_are_counted_per_table(spark, tmp_path):
+    put(tmp_path / "s_crm", "x.csv", b"a,b\r\n1,a\r\n\r\n2\r\n3,b,c\r\n,\r\n")
+    put(tmp_path / "s_crm", "other.csv", b"a\n1,2\n")
+    got = delimited.source_line_counts(spark, str(tmp_path), fields={"crm_x": 2}).collect()
+    assert {(r["table"], r["rows"], r["malformed"]) for r in got} == {("crm_x", 5, 3), ("crm_other", 1, None)}

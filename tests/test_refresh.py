@@ -84,8 +84,12 @@ def test_missing_and_malformed_sources(spark, tmp_path, warehouse):
     with pytest.raises(ValidationFailed) as caught:
         refresh_all(warehouse, source)
     assert [(f["check"], f["table"], f["columns"]) for f in caught.value.failed] == [
-        ("COUNT_MISMATCH", "erp_loc_a101", "3 != 2")
+        ("COUNT_MISMATCH", "erp_loc_a101", "3 != 2"), ("malformed_lines", "erp_loc_a101", "1")
     ]
+    uneven = FILES["erp/LOC_A101"] + "AW-00000003,DE,surplus\nAW-00000004\n"
+    with pytest.raises(ValidationFailed) as caught:
+        refresh_all(warehouse, put_sources(tmp_path / "uneven", **{"erp/LOC_A101": uneven}))
+    assert [(f["check"], f["table"], f["columns"]) for f in caught.value.failed] == [("malformed_lines", "erp_loc_a101", "2")]
     (tmp_path / "few" / "source_crm").mkdir(parents=True)
     (tmp_path / "few" / "source_crm" / "cust_info.csv").write_text(FILES["crm/cust_info"])
     with pytest.raises(LoadFailed, match="crm_prd_info"):
