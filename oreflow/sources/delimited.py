@@ -90,7 +90,7 @@ def source_line_counts(
         .text(root)
         .groupBy(
             F.col("_metadata.file_path").alias("_encoded"),
-            F.when(~F.col("value").isin("", "\r"), width).otherwise(0).alias("_width"),
+            F.when(F.btrim("value", F.lit(" \t\r")) != "", width).otherwise(0).alias("_width"),
         )
         .agg(F.count(F.lit(1)).alias("_lines"))
     )
