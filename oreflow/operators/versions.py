@@ -108,7 +108,9 @@ def version_join(
     listed = ranges.join(grid, on_grid).select(
         "_key", "_from", "_to", *taken, F.explode(F.sequence(_cell(F.col("_from")), _cell(F.col("_to")))).alias("_cell")
     )
-    placed = facts.join(grid, F.col(fact_key) == F.col("_grid_key"), "left").withColumn(
+    # Null-safe, though no grid has a NULL key: the grid then gets an exchange of its own instead of keeping that
+    # of its aggregate, without which AQE can't split a hot key of the facts.
+    placed = facts.join(grid, F.col(fact_key).eqNullSafe(F.col("_grid_key")), "left").withColumn(
         "_fact_cell", _cell(F.col(on_date))
     )
     same_cell = (F.col(fact_key) == F.col("_key")) & (F.col("_fact_cell") == F.col("_cell"))

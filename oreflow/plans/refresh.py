@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -26,6 +27,15 @@ class LoadFailed(Exception):
     """A layer has steps that did not end in success, or has none at all."""
 
 
+@dataclass(frozen=True)
+class Load:
+    """How to build a table; ``rows_read`` is the input whose rows the run log states."""
+
+    build: Callable[[], DataFrame]
+    rows_read: DataFrame | None = None
+    cluster_by: list[str] | None = None
+
+
 @dataclass(frozen=True)
 class Refresh:
     """One run over a warehouse."""
@@ -58,31 +68,43 @@ class Refresh:
         rows = [{"run_id": self.run_id, "layer": layer, **e} for e in events]
         runlog.append(self.warehouse.spark, self.log_path, rows)
 
-    def step(self, layer: Layer, table: str, build: Callable[[], DataFrame], rows_read=None, cluster_by=None):
-        """Load one table between a STARTED and a SUCCESS or FAILED event.
+    def load(self, layer: Layer, loads: Mapping[str, Load]) -> None:
+        """Load independent tables together, so that their stages fill the cluster.
+
+        Two appends to the run log: STARTED for all before, SUCCESS or FAILED for each after.  One that fails
+        does not stop the others; the first failure is raised once all have ended.
+        """
+        if not loads:
+            return
+        began = runlog.now()
+        names = {table: f"{layer.name}.load_{table}" for table in loads}
+        self.log(layer.name, *[{"step": n, "started_at": began, "status": runlog.STARTED} for n in names.values()])
+        with ThreadPoolExecutor(len(loads)) as pool:
+            ended = list(pool.map(lambda table: self._load(layer, table, loads[table]), loads))
+        self.log(layer.name, *[{"step": name, **event} for name, (event, _) in zip(names.values(), ended)])
+        for _, error in ended:
+            if error:
+                raise error
+
+    def _load(self, layer: Layer, table: str, load: Load) -> tuple[dict, Exception | None]:
+        """What became known of one step, and its error if it failed.
 
         Row counts come from the written files' footers: exact also after retried tasks.
         """
-        name, began = f"{layer.name}.load_{table}", runlog.now()
-        self.log(layer.name, {"step": name, "started_at": began, "status": runlog.STARTED})
+        began = runlog.now()
         try:
-            written = self.warehouse.write(layer, table, build(), self.run_id, cluster_by)
-            counts = {"rows_read": rows_read.count(), "rows_written": written.count()} if rows_read is not None else {}
+            written = self.warehouse.write(layer, table, load.build(), self.run_id, load.cluster_by)
+            counts = {}
+            if load.rows_read is not None:
+                counts = {"rows_read": load.rows_read.count(), "rows_written": written.count()}
         except Exception as error:
-            self.log(
-                layer.name,
-                {
-                    "step": name,
-                    "ended_at": runlog.now(),
-                    "status": runlog.FAILED,
-                    "error_class": runlog.exception_class(error),
-                    "error_message": f"Step failed: {name} | {error}",
-                },
-            )
-            raise
-        self.log(
-            layer.name, {"step": name, "ended_at": runlog.now(), "status": runlog.SUCCESS, **counts}
-        )
+            known = {
+                "status": runlog.FAILED,
+                "error_class": runlog.exception_class(error),
+                "error_message": f"Step failed: {layer.name}.load_{table} | {error}",
+            }
+            return {"started_at": began, "ended_at": runlog.now(), **known}, error
+        return {"started_at": began, "ended_at": runlog.now(), "status": runlog.SUCCESS, **counts}, None
 
     def expect_loaded(self, layer: Layer) -> None:
         """Every table of the layer must have a successful step in this run; no rows is a failure too."""
@@ -98,9 +120,14 @@ class Refresh:
         """Load the tables the source has files for; ``expect_loaded`` misses the others."""
         spark = self.warehouse.spark
         found = delimited.tables_found(spark, source)
-        for table, schema in BRONZE.tables.items():
-            if table in found:
-                self.step(BRONZE, table, lambda t=table, s=schema: delimited.read_delimited(spark, found[t], s))
+        self.load(
+            BRONZE,
+            {
+                table: Load(lambda t=table, s=schema: delimited.read_delimited(spark, found[t], s))
+                for table, schema in BRONZE.tables.items()
+                if table in found
+            },
+        )
 
     def check_bronze(self, source: str) -> None:
         """Lines in the files against rows in the tables, fields per line, and text within its declared width.
@@ -148,9 +175,10 @@ class Refresh:
     # -- silver ----------------------------------------------------------------------------
 
     def load_silver(self) -> None:
-        for table, clean in silver.TABLES.items():
-            raw = self.warehouse.read(BRONZE, table, self.run_id)
-            self.step(SILVER, table, lambda c=clean, r=raw: c(r), rows_read=raw)
+        raw = self.warehouse.read_layer(BRONZE, self.run_id)
+        self.load(
+            SILVER, {table: Load(lambda c=clean, r=raw[table]: c(r), raw[table]) for table, clean in silver.TABLES.items()}
+        )
 
     def check_silver(self) -> None:
         report = self._report(SILVER)
@@ -162,13 +190,16 @@ class Refresh:
 
     def load_gold(self) -> None:
         tables = self.warehouse.read_layer(SILVER, self.run_id)
-        self.step(GOLD, "dim_customer", lambda: gold.dim_customer(tables), tables["crm_cust_info"])
-        self.step(GOLD, "dim_product", lambda: gold.dim_product(tables), tables["crm_prd_info"])
-        products = self.warehouse.read(GOLD, "dim_product", self.run_id)
-        self.step(
-            GOLD, "fact_sales", lambda: gold.fact_sales(tables, products), tables["crm_sales_details"],
-            cluster_by=["order_number"],
+        self.load(
+            GOLD,
+            {
+                "dim_customer": Load(lambda: gold.dim_customer(tables), tables["crm_cust_info"]),
+                "dim_product": Load(lambda: gold.dim_product(tables), tables["crm_prd_info"]),
+            },
         )
+        products = self.warehouse.read(GOLD, "dim_product", self.run_id)
+        facts = Load(lambda: gold.fact_sales(tables, products), tables["crm_sales_details"], ["order_number"])
+        self.load(GOLD, {"fact_sales": facts})
 
     def check_gold(self) -> dict:
         """Run the gold checks; returns the share of flagged rows per flag."""
