@@ -3,10 +3,10 @@
 A store is a Parquet table of blocks, each a row that can be read by itself:
 
 * ``part``, ``block``: the writing task's number and the block's number in it; ids run on from block to block
-* ``count``: ids in the block (all blocks of a part but its last hold ``block_ids``)
+* ``start``, ``count``: ids of the part before the block, and in it
 * ``kind``: ``byte`` or ``bit``; ``planes``: one zstandard frame per plane, lowest plane first
 * ``docs``: the chunk index, for each piece of a document in the block ``doc_id``, ``ordinal`` (of the document in
-  the part), ``first`` (ids of the document before the piece) and ``length``
+  the part), ``first`` (ids of the document before the piece), ``at`` (ids of the block before it) and ``length``
 
 Parts are in ascending order of doc_id, and so are the documents in a part.  A byte plane holds the k-th byte of
 every id, a bit plane the k-th bit; planes above the highest id are left out.
@@ -29,13 +29,12 @@ from oreflow.llm.tokens import encoder
 BLOCK_IDS = 1 << 16
 LEVEL = 3
 
-_DOCS = pa.list_(
-    pa.struct([("doc_id", pa.int64()), ("ordinal", pa.int64()), ("first", pa.int64()), ("length", pa.int64())])
-)
+_DOCS = pa.list_(pa.struct([(n, pa.int64()) for n in ("doc_id", "ordinal", "first", "at", "length")]))
 _BLOCKS = pa.schema(
     [
         ("part", pa.int32()),
         ("block", pa.int64()),
+        ("start", pa.int64()),
         ("count", pa.int32()),
         ("kind", pa.string()),
         ("planes", pa.list_(pa.binary())),
@@ -43,8 +42,8 @@ _BLOCKS = pa.schema(
     ]
 )
 _BLOCKS_DDL = (
-    "part int, block bigint, count int, kind string, planes array<binary>,"
-    " docs array<struct<doc_id:bigint,ordinal:bigint,first:bigint,length:bigint>>"
+    "part int, block bigint, start bigint, count int, kind string, planes array<binary>,"
+    " docs array<struct<doc_id:bigint,ordinal:bigint,first:bigint,at:bigint,length:bigint>>"
 )
 
 
@@ -85,8 +84,8 @@ def _write_blocks(tokenizer: str, end_id: int, kind: str, block_ids: int):
 
         def full(ids: np.ndarray) -> pa.RecordBatch:
             row = {
-                "part": [part], "block": [block], "count": [len(ids)], "kind": [kind],
-                "planes": [to_planes(ids, kind)], "docs": [index],
+                "part": [part], "block": [block], "start": [block * block_ids], "count": [len(ids)],
+                "kind": [kind], "planes": [to_planes(ids, kind)], "docs": [index],
             }
             return as_batch(_BLOCKS, row)
 
@@ -100,7 +99,9 @@ def _write_blocks(tokenizer: str, end_id: int, kind: str, block_ids: int):
                     first = 0
                     while first < length:
                         take = min(length - first, block_ids - held)
-                        index.append({"doc_id": doc_id, "ordinal": ordinal, "first": first, "length": take})
+                        index.append(
+                            {"doc_id": doc_id, "ordinal": ordinal, "first": first, "at": held, "length": take}
+                        )
                         pending.append(ids[at : at + take])
                         at, first, held = at + take, first + take, held + take
                         if held == block_ids:
@@ -143,7 +144,7 @@ def write_tokens(
 
 
 _PIECES = pa.schema(
-    [(n, pa.int64()) for n in ("part", "ordinal", "doc_id", "first", "length", "crc32")]
+    [(n, pa.int64()) for n in ("part", "ordinal", "doc_id", "first", "place", "length", "crc32")]
 )
 
 
@@ -151,12 +152,13 @@ def _read_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             ids = from_planes(row["planes"], row["kind"], row["count"]).astype("<u4")
-            docs, ends = row["docs"], np.cumsum([d["length"] for d in row["docs"]])
+            docs = row["docs"]
             yield as_batch(
                 _PIECES,
                 {
                     "part": [row["part"]] * len(docs),
-                    "crc32": [zlib.crc32(ids[e - d["length"] : e]) for d, e in zip(docs, ends)],
+                    "place": [row["start"] + d["at"] for d in docs],
+                    "crc32": [zlib.crc32(ids[d["at"] : d["at"] + d["length"]]) for d in docs],
                     **{n: [d[n] for d in docs] for n in ("ordinal", "doc_id", "first", "length")},
                 },
             )
@@ -208,42 +210,26 @@ def _join_crcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """Per document of a store, decoded from its blocks: doc_id, start, n_tokens, ids_crc32.
 
-    ``start`` counts the ids of all documents before it.  Blocks decode independently; a document in several
-    of them takes its checksum from those of its pieces.
+    ``start`` counts the ids of all documents before it.  Blocks decode independently and say where their pieces
+    lie in the part; a document in several of them takes its checksum from those of its pieces.
     """
-    pieces = spark.read.parquet(path).mapInArrow(
+    blocks = spark.read.parquet(path)
+    pieces = blocks.select("part", "start", "count", "kind", "planes", "docs").mapInArrow(
         _read_pieces, ", ".join(f"{n} bigint" for n in _PIECES.names)
     )
     docs = pieces.groupBy("part", "ordinal").agg(
         F.first("doc_id").alias("doc_id"),
+        F.min("place").alias("place"),
         F.sum("length").alias("n_tokens"),
         F.sort_array(F.collect_list(F.struct("first", "length", "crc32"))).alias("pieces"),
     )
     joined = docs.mapInArrow(
-        _join_crcs, "part bigint, ordinal bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint"
-    )
-    # Where each document begins: within its block from the block's own list, blocks and parts by their counts.
-    blocks = spark.read.parquet(path).select(
-        F.col("part").cast("long").alias("part"), "block", F.col("count").cast("long").alias("count"), "docs"
+        _join_crcs, "part bigint, ordinal bigint, doc_id bigint, place bigint, n_tokens bigint, ids_crc32 bigint"
     )
-    parts = blocks.groupBy("part").agg(F.sum("count").alias("count"))
+    # One row per writing task: the ids of all parts before it.
+    parts = blocks.groupBy(F.col("part").cast("long").alias("part")).agg(F.sum("count").alias("count"))
     before_part = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("count").over(before_part), F.lit(0)).alias("part_start"))
-    size = blocks.groupBy("part").agg(F.max("count").alias("block_ids"))
-    place = F.aggregate(
-        "docs",
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("starts")),
-        lambda acc, d: F.struct(
-            (acc["at"] + d["length"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts")
-        ),
-        lambda acc: acc["starts"],
-    )
-    starts = (
-        blocks.select("part", "block", F.explode(F.arrays_zip("docs", place.alias("at"))).alias("x"))
-        .where("x.docs.first = 0")
-        .select("part", "block", F.col("x.docs.ordinal").alias("ordinal"), F.col("x.at").alias("at"))
-        .join(size, "part")
-        .join(parts, "part")
-        .select("part", "ordinal", (F.col("part_start") + F.col("block") * F.col("block_ids") + F.col("at")).alias("start"))
+    return joined.join(parts, "part").select(
+        "doc_id", (F.col("part_start") + F.col("place")).alias("start"), "n_tokens", "ids_crc32"
     )
-    return joined.join(starts, ["part", "ordinal"]).select("doc_id", "start", "n_tokens", "ids_crc32")
