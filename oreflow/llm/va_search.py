@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from oreflow.llm.common import as_batch, column
 from oreflow.session import written
@@ -173,7 +174,8 @@ def _nearest(k: int):
                         rows = open_[at : at + READ_AHEAD]
                         best += [(-s, int(i)) for s, i in zip(products(queries[q], exact[rows]), near.ids[rows])]
                         best = sorted(best)[:k]
-                    out += [(row["query_block"], q, int(query_ids[q]), i, -s) for s, i in best]
+                    # What lies below the sure bound is not among the best of all blocks.
+                    out += [(row["query_block"], q, int(query_ids[q]), i, -s) for s, i in best if -s >= sure[q]]
                 if out:
                     yield as_batch(_HITS, dict(zip(_HITS.names, map(list, zip(*out)))))
 
@@ -232,16 +234,7 @@ def top_products(
         .join(written(bounds), "query_block", "left")
         .mapInArrow(_nearest(k), "query_block bigint, query int, query_id bigint, vec_id bigint, score bigint")
     )
-    # k hits per query and block: keep the best k per query, block by block, without one task for all.
-    best = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("less"), "vec_id")))
-    return (
-        hits.groupBy("query_block", "query", "query_id")
-        .agg(F.slice(best, 1, k).alias("best"))
-        .select("query_id", F.posexplode("best").alias("place", "hit"))
-        .select(
-            "query_id",
-            (F.col("place") + 1).cast("int").alias("rank"),
-            F.col("hit.vec_id").alias("vec_id"),
-            (-F.col("hit.less")).alias("score"),
-        )
-    )
+    # k hits per query and block; the limit on the rank lets each task keep k per query before they are shuffled.
+    best_first = Window.partitionBy("query_block", "query", "query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = hits.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
