@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from oreflow.session import tune
 
-# Rows that Spark hands to Python at a time: texts are long, and Spark's own 10,000 would not be bounded by much.
+# Rows and bytes that Spark hands to Python at a time, whichever is reached first; a batch has one row at least.
 ARROW_ROWS = 1000
+ARROW_BYTES = 8 << 20
 # What one step inside a task holds of texts at a time, whatever the batch size.
 SLICE_BYTES = 2 << 20
 
@@ -19,6 +20,7 @@ SLICE_BYTES = 2 << 20
 def ready(spark: SparkSession) -> SparkSession:
     """Set what the operators rely on in a session someone else created."""
     tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     # Texts that one step has shuffled and written need not wait on disk for the driver's garbage collector.
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
