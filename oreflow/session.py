@@ -56,14 +56,30 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there, on whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's own part of the shared folder."""
+    return f"{shared_folder(spark)}/oreflow-{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application; results that still read them must be written before."""
+    delete_folder(spark, scratch_folder(spark))
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where many small queries follow on one costly input: the copy is columnar,
-    so each of them reads only its own columns, and it survives lost executors.
+    so each of them reads only its own columns, and it survives lost executors.  It stays until ``clear_scratch``.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/oreflow-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from oreflow.session import delete_folder
+
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """The schema's columns, in its order and types.  A value that does not fit its type raises."""
@@ -26,12 +28,17 @@ def reload(df: DataFrame, schema: StructType, path: str, cluster_by: list[str] |
     rows.write.mode("overwrite").parquet(path)
 
 
+NO_RUN = "none"
+ADMIN = "admin"
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Layers of Parquet tables under one root, each run in its own folder.
 
-    A run writes next to the published one and never over it; ``publish`` then points the
-    layer's views at the run, so readers change over only after its checks have passed.
+    A run writes next to the published one and never over it.  A layer's views read the run that the layer's
+    pointer names; ``publish`` moves the pointer after the checks have passed, so readers change over to all
+    tables of a run at once.
     """
 
     spark: SparkSession
@@ -51,21 +58,55 @@ class Warehouse:
         return {name: self.read(layer, name, run_id) for name in layer.tables}
 
     def create_if_absent(self, layer) -> None:
-        """Register the layer's database and any table it lacks, empty but typed."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer.name}")
+        """Register the layer's database, its pointer and any table it lacks, empty but typed."""
+        for database in (ADMIN, layer.name):
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        if self.current(layer) is None:
+            self._point(layer, NO_RUN, NO_RUN)
         for name, schema in layer.tables.items():
-            if not self.spark.catalog.tableExists(f"{layer.name}.{name}"):
-                path = f"{self.root}/{layer.name}/{name}/run_id=none"
-                self.spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
-                self._point(layer.name, name, path)
+            empty = self.path(layer.name, name, NO_RUN)
+            self.spark.createDataFrame([], schema).write.mode("ignore").parquet(empty)
+            # The text of a view depends on the root only: replacing it changes nothing for readers.
+            columns = ", ".join(schema.names)
+            self.spark.sql(
+                f"CREATE OR REPLACE VIEW {layer.name}.{name} AS SELECT {columns} FROM parquet.`{self.root}/{layer.name}/{name}`"
+                f" WHERE run_id = (SELECT run_id FROM {self._pointer(layer)})"
+            )
 
     def publish(self, layer, run_id: str) -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer.name}")
+        """Let the layer's views read ``run_id``.
+
+        The run published before stays for readers that have begun with it; the one before that is deleted.
+        Runs that were never published are left alone: they may be under way, or wanted for a look.
+        """
+        self.create_if_absent(layer)
+        now = self.current(layer)
+        if now.run_id == run_id:
+            return
+        if now.previous not in (NO_RUN, run_id):
+            self.discard(layer, now.previous)
+        self._point(layer, run_id, now.run_id)
+
+    def current(self, layer) -> Row | None:
+        """The published run of the layer and the one before it; None if this root has none."""
+        if not self.spark.catalog.tableExists(self._pointer(layer)):
+            return None
+        now = self.spark.table(self._pointer(layer)).first()
+        return now if now.root == self.root else None
+
+    def discard(self, layer, run_id: str) -> None:
+        """Delete what a run has written for the layer."""
         for name in layer.tables:
-            self._point(layer.name, name, self.path(layer.name, name, run_id))
+            delete_folder(self.spark, self.path(layer.name, name, run_id))
+
+    def _pointer(self, layer) -> str:
+        return f"{ADMIN}.current_{layer.name}"
 
-    def _point(self, layer: str, name: str, path: str) -> None:
-        self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS SELECT * FROM parquet.`{path}`")
+    def _point(self, layer, run_id: str, previous: str) -> None:
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self._pointer(layer)} AS"
+            f" SELECT '{run_id}' AS run_id, '{previous}' AS previous, '{self.root}' AS root"
+        )
 
     def listed(self, layer: str) -> list[str]:
         """Names of the tables a layer offers."""

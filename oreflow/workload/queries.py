@@ -17,7 +17,7 @@ from oreflow.operators.versions import chain_end_dates, version_join
 from oreflow.plans import gold, silver
 from oreflow.plans.refresh import Refresh, refresh_all
 from oreflow.schemas import BRONZE, GOLD, SILVER, Reference
-from oreflow.session import shared_folder, tune, written, written_all
+from oreflow.session import scratch_folder, tune, written, written_all
 from oreflow.sources import delimited
 from oreflow.sources.tables import Warehouse
 from oreflow.workload import oracles
@@ -650,7 +650,7 @@ def file_of(table: str) -> str:
 
 def as_files(spark: SparkSession, sf_dir: str, texts: Mapping[str, str]) -> str:
     """Write raw tables, given by their texts, as unquoted comma-separated CRLF files below a new folder."""
-    root = f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+    root = f"{scratch_folder(spark)}/files-{uuid.uuid4().hex}"
     for table, sql in texts.items():
         without_cr(derive(spark, sf_dir, sql)).write.options(
             header=True, quote="", escapeQuotes=False, emptyValue="", nullValue="", lineSep="\r\n",
@@ -684,7 +684,7 @@ def _(spark, sf_dir):
 
 def as_uneven_files(spark: SparkSession, sf_dir: str) -> str:
     """Write the raw tables as files in which a line, by its length, gains a field, loses its last one or is blank."""
-    root = f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+    root = f"{scratch_folder(spark)}/files-{uuid.uuid4().hex}"
     for table in RAW:
         rows = without_cr(raw(spark, sf_dir, table))
         line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in rows.columns])
@@ -754,7 +754,7 @@ def _(spark, sf_dir):
 
 def refreshed(spark: SparkSession, sf_dir: str) -> Refresh:
     """A full refresh over files that pass every check, into a warehouse of its own."""
-    warehouse = Warehouse(spark, f"{shared_folder(spark)}/warehouse-{uuid.uuid4().hex}")
+    warehouse = Warehouse(spark, f"{scratch_folder(spark)}/warehouse-{uuid.uuid4().hex}")
     run_id, _ = refresh_all(warehouse, as_files(spark, sf_dir, SOUND))
     return Refresh(warehouse, run_id)
 

@@ -1,7 +1,9 @@
 """The whole refresh from files, its gates and its reruns."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from oreflow import session
 from oreflow.operators.checks import ValidationFailed
 from oreflow.plans import gold
 from oreflow.plans.refresh import LoadFailed, Refresh, refresh_all
@@ -32,7 +34,7 @@ def put_sources(root, **changed):
 @pytest.fixture
 def warehouse(spark, tmp_path):
     yield Warehouse(spark, str(tmp_path / "wh"))
-    for layer in ("bronze", "silver", "gold"):
+    for layer in ("bronze", "silver", "gold", "admin"):
         spark.sql(f"DROP DATABASE IF EXISTS {layer} CASCADE")
 
 
@@ -58,6 +60,42 @@ def test_refresh_publishes_and_can_be_repeated(spark, tmp_path, warehouse):
     again, _ = refresh_all(warehouse, source)
     assert again != run_id
     assert spark.table("gold.fact_sales").orderBy("order_number").collect() == facts
+    # The run before stays readable; a third one takes its place, and the first goes.
+    assert (warehouse.current(GOLD).run_id, warehouse.current(GOLD).previous) == (again, run_id)
+    third, _ = refresh_all(warehouse, source)
+    kept = {p.name for p in (tmp_path / "wh" / "gold" / "fact_sales").iterdir()}
+    assert kept == {f"run_id={r}" for r in ("none", again, third)}
+    assert spark.table("gold.fact_sales").orderBy("order_number").collect() == facts
+
+
+def test_tables_of_a_layer_change_over_together(spark, warehouse):
+    def load(run_id, n):
+        for name, schema in SILVER.tables.items():
+            nulls = spark.range(n).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+            warehouse.write(SILVER, name, nulls, run_id)
+
+    def seen():
+        return {spark.table(f"silver.{t}").count() for t in SILVER.tables}
+
+    load("1", 1)
+    warehouse.publish(SILVER, "1")
+    assert seen() == {1}
+    load("2", 2)
+    warehouse.create_if_absent(SILVER)  # replaces the views, not the pointer
+    assert seen() == {1}
+    warehouse.publish(SILVER, "2")
+    assert seen() == {2}
+    plan = spark.table("silver.crm_cust_info")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_id" in plan and "PartitionCount" not in plan
+
+
+def test_scratch_can_be_cleared(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    assert session.written(spark.range(3)).count() == 3
+    assert len(list(tmp_path.iterdir())) == 1
+    session.clear_scratch(spark)
+    assert not list(tmp_path.iterdir())
+    assert session.written(spark.range(3)).count() == 3
 
 
 def test_a_failing_check_stops_before_gold_and_leaves_the_published_tables(spark, tmp_path, warehouse):
