@@ -20,7 +20,7 @@ from oreflow.llm.pu_quality import classify
 from oreflow.llm.shuffle_shards import hypergeometric_shuffle
 from oreflow.llm.simhash import near_duplicates
 from oreflow.llm.va_search import top_products
-from oreflow.session import shared_folder, written
+from oreflow.session import scratch_folder, written
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -120,7 +120,7 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_bit_planes")
 def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/tokens-{uuid.uuid4().hex}"
     write_tokens(read(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER))
     return read_index(spark, path)
 
