@@ -45,7 +45,7 @@ class Refresh:
 
     @classmethod
     def start(cls, warehouse: Warehouse) -> Refresh:
-        return cls(warehouse, uuid.uuid4().hex)
+        return cls(warehouse, f"run-{uuid.uuid4().hex}")
 
     @classmethod
     def resume(cls, warehouse: Warehouse, layer: str) -> Refresh:

@@ -59,14 +59,21 @@ class Warehouse:
 
     def create_if_absent(self, layer) -> None:
         """Register the layer's database, its pointer and any table it lacks, empty but typed."""
+        for name, schema in layer.tables.items():
+            empty = self.spark.createDataFrame([], schema).write.mode("ignore")
+            empty.parquet(self.path(layer.name, name, NO_RUN))
+        self._register(layer)
+
+    def _register(self, layer) -> None:
+        """The layer's views; their text depends on the root only, so replacing them changes nothing for readers.
+
+        Run ids must not look like numbers, or Spark would take the folders' names for such.
+        """
         for database in (ADMIN, layer.name):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         if self.current(layer) is None:
             self._point(layer, NO_RUN, NO_RUN)
         for name, schema in layer.tables.items():
-            empty = self.path(layer.name, name, NO_RUN)
-            self.spark.createDataFrame([], schema).write.mode("ignore").parquet(empty)
-            # The text of a view depends on the root only: replacing it changes nothing for readers.
             columns = ", ".join(schema.names)
             self.spark.sql(
                 f"CREATE OR REPLACE VIEW {layer.name}.{name} AS SELECT {columns} FROM parquet.`{self.root}/{layer.name}/{name}`"
@@ -79,7 +86,7 @@ class Warehouse:
         The run published before stays for readers that have begun with it; the one before that is deleted.
         Runs that were never published are left alone: they may be under way, or wanted for a look.
         """
-        self.create_if_absent(layer)
+        self._register(layer)
         now = self.current(layer)
         if now.run_id == run_id:
             return

@@ -64,7 +64,7 @@ def test_refresh_publishes_and_can_be_repeated(spark, tmp_path, warehouse):
     assert (warehouse.current(GOLD).run_id, warehouse.current(GOLD).previous) == (again, run_id)
     third, _ = refresh_all(warehouse, source)
     kept = {p.name for p in (tmp_path / "wh" / "gold" / "fact_sales").iterdir()}
-    assert kept == {f"run_id={r}" for r in ("none", again, third)}
+    assert kept == {f"run_id={r}" for r in (again, third)}
     assert spark.table("gold.fact_sales").orderBy("order_number").collect() == facts
 
 
@@ -77,13 +77,13 @@ def test_tables_of_a_layer_change_over_together(spark, warehouse):
     def seen():
         return {spark.table(f"silver.{t}").count() for t in SILVER.tables}
 
-    load("1", 1)
-    warehouse.publish(SILVER, "1")
+    load("run-1", 1)
+    warehouse.publish(SILVER, "run-1")
     assert seen() == {1}
-    load("2", 2)
+    load("run-2", 2)
     warehouse.create_if_absent(SILVER)  # replaces the views, not the pointer
     assert seen() == {1}
-    warehouse.publish(SILVER, "2")
+    warehouse.publish(SILVER, "run-2")
     assert seen() == {2}
     plan = spark.table("silver.crm_cust_info")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(run_id" in plan and "PartitionCount" not in plan
