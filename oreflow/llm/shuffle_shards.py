@@ -176,31 +176,38 @@ def hypergeometric_shuffle(docs: DataFrame, shards: int = 40, seed: int = 17, ce
     read for it, so nulls, equal rows and empty texts are rows like any other; columns named shard or slot
     are replaced; an empty table gives an empty result.
 
-    The input is written once, which fixes its partitions.  Each is permuted locally and dealt out by its
-    row of the matrix; the rows of a shard then go to random cells of about ``cell_rows`` rows, which are
-    permuted again and numbered one after the other, so no task holds a shard.
+    Every partition of the input is permuted locally and written with its number and each row's place in it;
+    the matrix and the dealing read only these columns, so it does not matter how the copy is cut into tasks
+    later.  Rows are dealt out by their part's row of the matrix; those of a shard then go to random cells of
+    about ``cell_rows`` rows, which are permuted again and numbered one after the other, so no task holds a
+    shard.  A row that the matrix has no place for raises.
     """
     docs = docs.drop("shard", "slot")
     part, key, rank, cell, until = fresh(docs, "part", "key", "rank", "cell", "until")
-    fixed = written(docs)
-    random = F.xxhash64(F.lit(seed), F.monotonically_increasing_id())
-    placed = fixed.withColumns({part: F.spark_partition_id(), key: random})
-
-    parts = written(
-        fixed.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("rows"))
+    place = F.monotonically_increasing_id()
+    local_rank = place.bitwiseAND(F.lit((1 << 33) - 1))
+    fixed = written(
+        docs.withColumns({part: F.spark_partition_id(), key: F.xxhash64(F.lit(seed), place)})
+        .sortWithinPartitions(key)
+        .withColumn(rank, local_rank)
     )
+    parts = written(fixed.groupBy(column(part).alias("part")).agg(F.count(F.lit(1)).alias("rows")))
     total = parts.agg(F.sum("rows")).first()[0] or 0
     if total == 0:
-        return fixed.withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")})
+        return fixed.select(*[column(c) for c in docs.columns], F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
     matrix = written(communication_matrix(parts, total, shards, seed))
 
-    local_rank = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    permuted = placed.sortWithinPartitions(key).withColumn(rank, local_rank)
     ends = matrix.select(F.col("part").alias(part), F.col("until").alias(until))
     cells = max(LEAST_CELLS, -(-total // (shards * cell_rows)))
+    beyond = F.coalesce(F.col(rank) >= F.element_at(until, -1), F.lit(True))
     dealt = (
-        permuted.join(ends, part)
-        .withColumn("shard", F.size(F.filter(F.col(until), lambda e: e <= F.col(rank))))
+        fixed.join(ends, part, "left")
+        .withColumn(
+            "shard",
+            F.when(beyond, F.raise_error(F.lit("the matrix has no place for a row")).cast("int")).otherwise(
+                F.size(F.filter(F.col(until), lambda e: e <= F.col(rank)))
+            ),
+        )
         .withColumn(cell, F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key)), F.lit(cells)))
         .drop(until)
     )

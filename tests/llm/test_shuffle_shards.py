@@ -65,3 +65,30 @@ def test_places_are_even(spark):
     for seed in range(40):
         seen.update((r.id, r.shard) for r in hypergeometric_shuffle(docs, shards=2, seed=seed).collect())
     assert all(8 <= seen[i, s] <= 32 for i in range(4) for s in range(2))
+
+
+def test_rows_survive_another_cut_of_the_files(spark, tmp_path):
+    """The copy may be cut into other tasks when the result is computed than when it was planned."""
+    path = str(tmp_path / "docs")
+    spark.range(1000).withColumn("text", F.col("id").cast("string")).repartition(6).write.parquet(path)
+    names = ["spark.sql.leafNodeDefaultParallelism", "spark.sql.files.openCostInBytes"]
+    before = {n: spark.conf.get(n, None) for n in names}
+
+    def shuffled(planned, run):
+        spark.conf.set(names[1], "1")
+        spark.conf.set(names[0], planned)
+        out = hypergeometric_shuffle(spark.read.parquet(path), shards=40)
+        spark.conf.set(names[0], run)
+        return sorted(map(tuple, out.collect()))
+
+    try:
+        for planned, run in [("4", "4"), ("4", "16"), ("16", "4")]:
+            got = shuffled(planned, run)
+            assert [r[0] for r in got] == list(range(1000))
+            assert set(Counter(r[2] for r in got).values()) == {25}
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
