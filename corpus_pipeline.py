@@ -16,9 +16,9 @@ from oreflow.llm.bm25_packing import pack, pieces
 from oreflow.llm.common import read, ready
 from oreflow.llm.line_chunks import dedup_line_chunks
 from oreflow.llm.mixing import mix, words_of
-from oreflow.llm.near_copies import keep_first
 from oreflow.llm.pu_quality import keep_good
 from oreflow.llm.queries import TOKENIZER, domain_of
+from oreflow.llm.simhash import keep_first
 from oreflow.session import scratch_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -37,7 +37,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares four fifths of its five-word shingles stays: the one with the smallest id."""
+    """One document stays of each group that links of at most three differing fingerprint bits connect: the smallest id."""
     return keep_first(docs).select(*COLUMNS)
 
 
