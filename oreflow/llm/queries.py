@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreflow.llm.bag_search import rank_documents
 from oreflow.llm.bitplanes import read_index, write_tokens
 from oreflow.llm.bm25_packing import pack, pieces
 from oreflow.llm.chat_format import format_conversations, read_back
@@ -253,3 +254,34 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(written(rows), levels, target_weights, F.col("tokens"), share=0.5).select(
         "doc_id", "domain", "lang", "source", "tokens", "copies"
     )
+
+
+@query(
+    "op11_bag_dedup_search",
+    r"""
+    WITH texts AS (
+        SELECT 0 AS side, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark
+    ), cut AS (
+        SELECT side, id, row_number() OVER () AS k, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM texts
+    ), total AS (
+        SELECT count(*) AS docs, sum(len(terms))::BIGINT AS terms FROM cut WHERE side = 0 AND len(terms) > 0
+    ), counted AS (
+        SELECT side, id, k, n, term, count(*) AS tf
+        FROM (SELECT side, id, k, len(terms) AS n, unnest(terms) AS term FROM cut) GROUP BY ALL
+    ), weights AS (
+        SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+        FROM (SELECT term, count(*) AS df FROM counted WHERE side = 0 GROUP BY term), total
+    ), scored AS (
+        SELECT i.id AS item_id, d.id AS doc_id, d.k,
+               sum(i.tf * w * ((1000000000 * d.tf) // (1000 * d.tf + 12 * (75 + ((25 * d.n * docs) // total.terms)))))::BIGINT AS score
+        FROM counted i JOIN counted d ON i.side = 1 AND d.side = 0 AND i.term = d.term JOIN weights ON weights.term = i.term, total
+        GROUP BY i.id, d.id, d.k
+    )
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+    FROM scored WHERE score > 0 QUALIFY rank <= 20
+    """,
+)
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
