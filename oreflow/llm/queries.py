@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreflow.llm import minhash
 from oreflow.llm.bag_search import rank_documents
 from oreflow.llm.bitplanes import read_index, write_tokens
 from oreflow.llm.bm25_packing import pack, pieces
@@ -285,3 +286,29 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op13_bbit_minhash",
+    r"""
+    WITH RECURSIVE cut AS (
+        SELECT doc_id, list_filter(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+            lambda w: w <> '') AS w FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3])))
+            END AS s FROM cut
+    ), items AS MATERIALIZED (SELECT doc_id, len(s) AS n, hash(t) AS t FROM (SELECT doc_id, s, unnest(s) AS t FROM sets)),
+    links AS MATERIALIZED (
+        SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.t = b.t AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+    ), reach(doc_id, other) AS (
+        SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
+    )
+    SELECT doc_id, len(s)::BIGINT AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+    FROM sets JOIN reach USING (doc_id) GROUP BY doc_id, s
+    """,
+)
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"))
