@@ -16,6 +16,7 @@ from oreflow.llm.bm25_packing import pack, pieces
 from oreflow.llm.chat_format import format_conversations, read_back
 from oreflow.llm.common import read, ready
 from oreflow.llm.exact_dedup import exact_duplicates
+from oreflow.llm.feast import by_component, whiten
 from oreflow.llm.line_chunks import dedup_line_chunks
 from oreflow.llm.mixing import mix, words_of
 from oreflow.llm.pu_quality import classify
@@ -288,6 +289,11 @@ def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query("op12_feast_whitening")
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return by_component(whiten(read(spark, sf_dir, "embeddings")))
+
+
 @query(
     "op13_bbit_minhash",
     r"""
