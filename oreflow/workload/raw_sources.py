@@ -103,6 +103,28 @@ FROM {customer}""",
     "erp_px_cat_g1v2": RAW["erp_px_cat_g1v2"].replace("'maybe'", "'no'"),
 }
 
+# The next extract of the sound one, with about one row in a hundred changed: customers renamed or under a new key, a
+# version that starts on another day, order lines with another quantity, a move to another country.
+NEXT = {
+    **SOUND,
+    "crm_cust_info": f"""
+SELECT cst_id, CASE WHEN cast(cst_id AS int) % 100 = 8 THEN 'AX' || substring(cst_key, 3) ELSE cst_key END AS cst_key,
+       cst_firstname, CASE WHEN cast(cst_id AS int) % 100 = 7 THEN 'RENAMED' ELSE cst_lastname END AS cst_lastname,
+       cst_marital_status, cst_gndr, cst_create_date
+FROM ({SOUND["crm_cust_info"]}) s""",
+    "crm_prd_info": f"""
+SELECT prd_id, prd_key, prd_nm, prd_cost, prd_line,
+       CASE WHEN cast(prd_id AS int) % 100 = 4 THEN '1997-08-15' ELSE prd_start_dt END AS prd_start_dt, prd_end_dt
+FROM ({SOUND["crm_prd_info"]}) s""",
+    "crm_sales_details": f"""
+SELECT sls_ord_num, sls_prd_key, sls_cust_id, sls_order_dt, sls_ship_dt, sls_due_dt, sls_sales,
+       CASE WHEN cast(sls_cust_id AS int) % 100 = 9 THEN '7' ELSE sls_quantity END AS sls_quantity, sls_price
+FROM ({SOUND["crm_sales_details"]}) s""",
+    "erp_loc_a101": f"""
+SELECT cid, CASE WHEN right(cid, 2) = '13' THEN 'FR' || chr(13) ELSE cntry END AS cntry
+FROM ({SOUND["erp_loc_a101"]}) s""",
+}
+
 # One category row per part: the catalogue's cleaning rules over a table of full size.
 PART_CATEGORIES = """
 SELECT CASE WHEN p_partkey % 31 = 4 THEN '  ' ELSE lpad(cast(p_partkey AS string), 6, '0') END AS id,
