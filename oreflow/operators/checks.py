@@ -99,14 +99,61 @@ def orphan_rows(source: DataFrame, target: DataFrame, ref: Reference) -> DataFra
     return source.join(known, F.col(ref.column) == F.col("_known"), "left_anti")
 
 
+def key_checks(layer: Layer, tables: dict[str, DataFrame]) -> DataFrame:
+    """Duplicate keys and broken references of a whole layer in one aggregation: one scan a table, one shuffle.
+
+    Each row gives one entry per key it has or refers to; entries of one key meet, counted by what they are: rows
+    of the keyed table, or of a reference to it.  Both sides of a reference and the duplicates of its target
+    are then plain conditions on the counts.  Combined before the shuffle: a hot key is one row per task.
+    """
+    roles: dict[tuple[str, tuple[str, ...]], int] = {}
+    entries: dict[str, list] = {}
+
+    def role(of: tuple[str, tuple[str, ...]], table: str, columns: tuple[str, ...], key_of: int | None) -> int:
+        number = len(roles)
+        roles[of] = number
+        key = F.array(*[F.col(c).cast("string") for c in columns])
+        place = F.lit(number if key_of is None else key_of)
+        entries.setdefault(table, []).append(F.struct(place.alias("key_of"), key.alias("key"), F.lit(number).alias("role")))
+        return number
+
+    keyed = list(dict.fromkeys([*layer.keys.items(), *[(r.target, (r.target_column,)) for r in layer.references]]))
+    owners = {of: role(of, of[0], of[1], None) for of in keyed}
+    users = {
+        ref: role((str(ref), ()), ref.source, (ref.column,), owners[ref.target, (ref.target_column,)]) for ref in layer.references
+    }
+    cells = [tables[table].select(F.inline(F.array(*own))) for table, own in entries.items()]
+    count = lambda n: F.count_if(F.col("role") == n).alias(f"_{n}")
+    met = reduce(DataFrame.unionAll, cells).groupBy("key_of", "key").agg(*[count(n) for n in roles.values()])
+
+    results = []
+    for table, keys in layer.keys.items():
+        doubled = F.count_if(F.col(f"_{owners[table, keys]}") > 1)
+        results.append((DUPLICATE_KEY, table, None, ",".join(keys), doubled))
+    for ref, user in users.items():
+        missing = F.col("key")[0].isNull() if not ref.allow_null else F.lit(False)
+        missing |= F.col("key")[0].isNotNull() & (F.col(f"_{owners[ref.target, (ref.target_column,)]}") == 0)
+        orphans = F.coalesce(F.sum(F.when(missing, F.col(f"_{user}"))), F.lit(0))
+        results.append((REFERENCE, ref.source, ref.target, str(ref), orphans))
+    totals = met.agg(*[violations.alias(f"v{i}") for i, (*_, violations) in enumerate(results)])
+    rows = [
+        F.struct(
+            F.lit(check).alias("check"), F.lit(table).alias("table"), F.lit(other).cast("string").alias("other_table"),
+            F.lit(columns).alias("columns"), F.col(f"v{i}").cast("bigint").alias("violations"),
+        )
+        for i, (check, table, other, columns, _) in enumerate(results)
+    ]
+    return totals.select(F.inline(F.array(*rows)))
+
+
 def constraint_report(layer: Layer, tables: dict[str, DataFrame]) -> DataFrame:
-    """All checks the contract declares for a layer."""
+    """All checks the contract declares for a layer: two scans a table and one shuffle of keys."""
     results = [
         row_checks(tables[name], name, layer.keys.get(name, ()), declared_widths(schema))
         for name, schema in layer.tables.items()
     ]
-    results += [duplicate_key_check(tables[name], name, keys) for name, keys in layer.keys.items()]
-    results += [reference_check(tables[ref.source], tables[ref.target], ref) for ref in layer.references]
+    if layer.keys or layer.references:
+        results.append(key_checks(layer, tables))
     return reduce(DataFrame.unionAll, results)
 
 

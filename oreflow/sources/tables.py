@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
-from oreflow.session import delete_folder
+from oreflow.session import delete_folder, written
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -16,18 +17,35 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in schema])
 
 
-def reload(df: DataFrame, schema: StructType, path: str, cluster_by: list[str] | None = None) -> None:
+def reload(
+    df: DataFrame, schema: StructType, path: str, cluster_by: list[str] | None = None, files: int | None = None
+) -> None:
     """Replace the table at ``path`` with ``df``: same input, same table, however often it runs.
 
-    ``cluster_by`` sorts inside each file, which gives tight Parquet statistics without the
-    global sort that a total order would cost.
+    ``cluster_by`` gives every file a range of these columns of its own and sorts inside it.  Boundaries are
+    sampled from a written copy, so ``df`` is evaluated once; rows of one key may lie in two neighbouring files, so a
+    hot key makes no large one.  ``files`` says how many there are, at most; else Spark goes by their size.
     """
     rows = conform(df, schema)
     if cluster_by:
-        rows = rows.sortWithinPartitions(*cluster_by)
+        spread = F.xxhash64(*schema.names).alias("_spread")
+        ranges = [*([files] if files else []), *cluster_by, "_spread"]
+        rows = written(rows.select("*", spread)).repartitionByRange(*ranges).sortWithinPartitions(*cluster_by).drop("_spread")
     rows.write.mode("overwrite").parquet(path)
 
 
+def file_ranges(table: DataFrame, column: str) -> DataFrame:
+    """(file, rows, first, last, before) of a table read from files: the range of ``column`` in each, and the largest
+    value in the files ahead of it in that order.  Files overlap where ``first`` is less than ``before``.
+    """
+    files = table.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(column).alias("first"), F.max(column).alias("last")
+    )
+    # One row a file.
+    ahead = Window.orderBy("first", "last", "file").rowsBetween(Window.unboundedPreceding, -1)
+    return files.withColumn("before", F.max("last").over(ahead))
+
+
 NO_RUN = "none"
 ADMIN = "admin"
 
