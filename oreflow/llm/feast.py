@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,8 @@ LARGEST = 2.0**52
 IN_INTERVAL = 6
 NODES = 16
 MOST_ROUNDS = 40
+# Eigenvalues so many radii from an interval's centre are all but gone after one projection.
+NEAR = 1.6
 # Shifts tried when an interval is cut.
 SHIFTS = 129
 
@@ -62,12 +64,13 @@ def above(diagonal: np.ndarray, off: np.ndarray, shifts: np.ndarray) -> np.ndarr
 
 @dataclass(frozen=True)
 class Interval:
-    """Eigenvalues in (low, high], ``count`` of them by inertia; ``rank`` larger ones."""
+    """Eigenvalues in (low, high], ``count`` of them by inertia; ``rank`` larger ones, ``near`` within NEAR radii."""
 
     low: float
     high: float
     count: int
     rank: int
+    near: int = 0
 
 
 def _cut(diagonal: np.ndarray, off: np.ndarray, low: float, high: float) -> float:
@@ -101,7 +104,9 @@ def intervals(diagonal: np.ndarray, off: np.ndarray, wanted: int) -> list[Interv
         if rank >= wanted or not count:
             continue
         if count <= IN_INTERVAL or b - a <= 1e-12 * scale:
-            done.append(Interval(float(a), float(b), count, rank))
+            centre, reach_ = (a + b) / 2, NEAR * (b - a) / 2
+            within = above(diagonal, off, np.array([centre - reach_, centre + reach_]))
+            done.append(Interval(float(a), float(b), count, rank, int(within[0] - within[1])))
             continue
         middle = _cut(diagonal, off, a, b)
         upper = int(above(diagonal, off, middle)[0]) - rank
@@ -115,33 +120,37 @@ def contour_vectors(matrix: np.ndarray, interval: Interval, seed: int = 7) -> tu
     A circle through the interval's ends is integrated by Gauss-Legendre nodes: at each, a complex shifted
     system is solved for a block of vectors, which the sum projects on the interval's eigenvectors.  A
     Rayleigh-Ritz step takes them out; the block is projected again until its residuals are at rounding.
+    The block has room for the eigenvalues just outside, which the projection hardly dampens; should it not
+    settle, it is doubled.
     """
     size = len(matrix)
-    block = min(size, interval.count + max(4, interval.count // 2))
-    vectors = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, block)))[0]
     scale = np.abs(matrix).sum(axis=1).max()
     centre, radius = (interval.low + interval.high) / 2, (interval.high - interval.low) / 2
     nodes, weights = np.polynomial.legendre.leggauss(NODES)
     turn = np.exp(-1j * np.pi / 2 * (nodes - 1))
-    solved = [(w, radius * t, (centre + radius * t) * np.eye(size) - matrix) for w, t in zip(weights, turn)]
+    shifted = [(w / 2, radius * t, (centre + radius * t) * np.eye(size) - matrix) for w, t in zip(weights, turn)]
+    block = min(size, max(interval.near + 2, interval.count + 4))
     best = None
-    for _ in range(MOST_ROUNDS):
-        projected = sum(w / 2 * np.real(t * np.linalg.solve(shifted, vectors.astype(np.complex128))) for w, t, shifted in solved)
-        basis = np.linalg.qr(projected)[0]
-        basis = np.linalg.qr(basis)[0]
-        values, small = np.linalg.eigh(basis.T @ matrix @ basis)
-        vectors = basis @ small
-        inside = np.flatnonzero((values > interval.low) & (values <= interval.high))[::-1]
-        if len(inside) == interval.count:
+    while True:
+        vectors = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, block)))[0]
+        for _ in range(MOST_ROUNDS):
+            projected = sum(w * np.real(t * np.linalg.solve(system, vectors.astype(np.complex128))) for w, t, system in shifted)
+            basis = np.linalg.qr(np.linalg.qr(projected)[0])[0]
+            values, small = np.linalg.eigh(basis.T @ matrix @ basis)
+            vectors = basis @ small
+            inside = np.flatnonzero((values > interval.low) & (values <= interval.high))[::-1]
+            if len(inside) != interval.count:
+                continue
             residual = np.linalg.norm(matrix @ vectors[:, inside] - vectors[:, inside] * values[inside], axis=0).max()
+            settled = best is not None and residual > best[0] / 2
             if best is None or residual < best[0]:
-                settled = best is not None and residual > best[0] / 2
                 best = (residual, values[inside], vectors[:, inside])
-            else:
-                settled = True
             if settled and best[0] <= 1e-12 * scale:
-                break
-    if best is None or best[0] > 1e-9 * scale:
+                return best[1], best[2]
+        if block == size:
+            break
+        block = min(size, 2 * block)
+    if best is None or best[0] > 1e-10 * scale:
         raise ArithmeticError(f"contour did not settle on the {interval.count} eigenvalues of {interval}")
     return best[1], best[2]
 
@@ -165,7 +174,7 @@ def principal(spark, covariance: np.ndarray, wanted: int = COMPONENTS) -> tuple[
                     {"rank": row["rank"] + np.arange(len(values)), "value": values, "vector": list(vectors.T)}
                 )
 
-    rows = spark.createDataFrame([(i.low, i.high, i.count, i.rank) for i in cut], "low double, high double, count long, rank long")
+    rows = spark.createDataFrame([astuple(i) for i in cut], "low double, high double, count long, rank long, near long")
     # One task per interval.
     found = rows.repartitionByRange(len(cut), "rank").mapInArrow(solve, "rank bigint, value double, vector array<double>").collect()
     found.sort(key=lambda r: r["rank"])
@@ -209,8 +218,8 @@ def covariance(rows: DataFrame, name: str, count: int, centre: np.ndarray) -> np
     parts = rows.select(name).mapInArrow(_sum_of_products(name, centre), "i bigint, products array<double>")
     cells = parts.select("i", F.posexplode("products").alias("j", "p")).groupBy("i", "j").agg(F.sum("p").alias("p"))
     out = np.zeros((len(centre), len(centre)))
-    for r in cells.groupBy("i").agg(F.array_sort(F.collect_list(F.struct("j", "p"))).alias("cells")).toLocalIterator():
-        out[r["i"]] = [c["p"] for c in r["cells"]]
+    sums = cells.toArrow()
+    out[sums["i"].to_numpy(), sums["j"].to_numpy()] = sums["p"].to_numpy()
     return (out + out.T) / (2 * count)
 
 

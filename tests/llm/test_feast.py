@@ -21,6 +21,7 @@ SPECTRA = {
     "close": np.concatenate([[100.0, 100.0 + 1e-7, 99.9], np.linspace(50, 51, 20), np.full(9, 1e-3)]),
     "equal": np.concatenate([np.full(12, 7.0), np.full(5, 3.0)]),
     "deficient": np.concatenate([np.arange(1.0, 9.0), np.zeros(24)]),
+    "dense": np.linspace(60.0, 70.0, 64) + 0.02 * np.sin(np.arange(64)),
     "one": np.array([4.0]),
     "two": np.array([4.0, 0.5]),
 }
