@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreflow.llm.common import as_batch, column, slices
@@ -32,6 +32,8 @@ PART = 1 << 11
 # Sets that one cell of a group compares with a slice of the group's members.
 CELL = 1 << 10
 TOGETHER = 1 << 10
+# The bit array that tells which texts to read again is no larger than this (16 MB).
+MOST_BITS = 27
 
 _MULTIPLIERS = np.random.default_rng(SEED).integers(0, 1 << 31, (MINIMA, 1), np.uint32) * np.uint32(2) + np.uint32(1)
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -128,11 +130,11 @@ def _by_name(batch: pa.RecordBatch) -> dict[str, pa.Array]:
 
 _PRINTS = pa.schema(
     [
-        ("doc_id", pa.int64()), ("key", pa.string()), ("name", pa.string()), ("size", pa.int64()),
+        ("doc_id", pa.int64()), ("key", pa.string()), ("digest", pa.string()), ("size", pa.int64()),
         ("bits", pa.binary()), ("bands", pa.list_(pa.int64())),
     ]
 )
-_PRINTS_DDL = "doc_id bigint, key string, name string, size bigint, bits binary, bands array<bigint>"
+_PRINTS_DDL = "doc_id bigint, key string, digest string, size bigint, bits binary, bands array<bigint>"
 
 
 def _prints(words: int):
@@ -146,7 +148,7 @@ def _prints(words: int):
                     {
                         "doc_id": part.column(0),
                         "key": part.column(1),
-                        "name": [hashlib.md5(s.tobytes()).hexdigest() if len(s) else None for s in sets],
+                        "digest": [hashlib.md5(s.tobytes()).hexdigest() if len(s) else None for s in sets],
                         "size": [len(s) for s in sets],
                         "bits": [None if m is None else signature(m) for m in least],
                         "bands": [None if m is None else band_keys(m) for m in least],
@@ -156,8 +158,8 @@ def _prints(words: int):
     return run
 
 
-_TIES = pa.schema([("a", pa.string()), ("b", pa.string()), ("estimate", pa.float64())])
-_TIES_DDL = "a string, b string, estimate double"
+_TIES = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("estimate", pa.float64())])
+_TIES_DDL = "a bigint, b bigint, estimate double"
 
 
 def _ties(percent: int):
@@ -166,7 +168,7 @@ def _ties(percent: int):
     A tie has no estimate.  At most two rows a set leave a bucket, however many pairs are likely in it.
     """
 
-    def close(names: list[str], sizes: list[int], bits: list[bytes]) -> Iterator[pa.RecordBatch]:
+    def close(names: list[int], sizes: list[int], bits: list[bytes]) -> Iterator[pa.RecordBatch]:
         if len(names) < 2:
             return
         size, sign = np.array(sizes), np.frombuffer(b"".join(bits), np.uint64).reshape(len(names), -1)
@@ -205,19 +207,46 @@ def _ties(percent: int):
     return run
 
 
-_SETS = pa.schema([("name", pa.string()), ("items", pa.binary())])
+_SETS = pa.schema([("key", pa.string()), ("items", pa.binary())])
 
 
-def _sets(words: int):
+def _slot(bits: int) -> Column:
+    return F.pmod(F.xxhash64("key"), F.lit(bits))
+
+
+def _marked(keys: DataFrame) -> tuple[int, np.ndarray]:
+    """A bit array in which each key's slot is set: at most 2**MOST_BITS bits, 16 a key where that is enough."""
+    bits = 1 << min(MOST_BITS, max(10, (16 * keys.count()).bit_length()))
+    set_ = F.call_function("shiftleft", F.lit(1).cast("long"), _slot(bits).bitwiseAND(63).cast("int"))
+    words = keys.groupBy(F.shiftright(_slot(bits), 6).alias("word")).agg(F.bit_or(set_).alias("set")).toArrow()
+    table = np.zeros(bits // 64, np.int64)
+    table[words["word"].to_numpy()] = words["set"].to_numpy()
+    return bits, table.view(np.uint64)
+
+
+def _sets(words: int, marked: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in slices(batch, "text"):
-                yield as_batch(_SETS, {"name": part.column(0), "items": [shingles(t, words).tobytes() for t in texts]})
+            slot = _by_name(batch)["slot"].to_numpy().astype(np.uint64)
+            wanted = marked[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)
+            for part, texts in slices(batch.filter(pa.array(wanted.astype(bool))), "text"):
+                yield as_batch(_SETS, {"key": part.column(0), "items": [shingles(t, words).tobytes() for t in texts]})
 
     return run
 
 
-_LINKS = pa.schema([("a", pa.string()), ("b", pa.string())])
+def _sets_of(texts: DataFrame, named: DataFrame, words: int) -> DataFrame:
+    """(name, items) for the keys and names given.
+
+    Texts are read again, but not shuffled: a bit array of bounded size sorts most others out where they are read,
+    and only the sets of the rest meet the names.
+    """
+    bits, marked = _marked(named.select("key"))
+    found = texts.select("key", "text", _slot(bits).alias("slot")).mapInArrow(_sets(words, marked), "key string, items binary")
+    return found.join(named.select("key", "name"), "key").select("name", "items").dropDuplicates(["name"])
+
+
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _confirm(percent: int):
@@ -267,7 +296,7 @@ def _compare_cells(percent: int):
                     continue
                 if matrix is None:
                     matrix = np.frombuffer(b"".join(sign), np.uint64).reshape(len(names), -1)
-                    size, labels = np.array(sizes), np.array(labels, object)
+                    size, labels = np.array(sizes), np.array(labels, np.int64)
                 own = np.frombuffer(bits.as_py(), np.uint64)[None, :]
                 possible = likely(own, len(values), matrix, size, percent)[1][0]
                 for i in np.flatnonzero(possible & (labels != label)).tolist():
@@ -281,22 +310,27 @@ def _compare_cells(percent: int):
 
 
 def _dealt(prints: DataFrame, part: int) -> DataFrame:
-    """(band, part, name, size, bits) of the bands that sets share; a bucket above ``part`` sets is cut by hash."""
+    """(band, part, name, size, bits) of the bands that sets share; a bucket above ``part`` sets is cut by hash.
+
+    Only bands and names are shuffled to find shared bands; signatures join what is left.
+    """
     spread = prints.select("name", F.explode("bands").alias("band"))
     shared = spread.groupBy("band").agg(F.count(F.lit(1)).alias("sets"), F.min("name").alias("least")).where("sets > 1")
     parts = F.ceil(F.col("sets") / F.lit(part))
-    return (
-        prints.select("name", "size", "bits", F.explode("bands").alias("band"))
-        .join(shared, "band")
-        .withColumn("part", F.pmod(F.xxhash64("name", "band"), parts))
-        .select("band", "part", "name", "size", "bits", F.when(parts > 1, F.col("least")).alias("least"))
+    placed = spread.join(shared, "band").select(
+        "band",
+        F.pmod(F.xxhash64("name", "band"), parts).alias("part"),
+        "name",
+        F.when(parts > 1, F.col("least")).alias("least"),
     )
+    return placed.join(prints.select("name", "size", "bits"), "name")
 
 
 def near_sets(texts: DataFrame, prints: DataFrame, words: int, percent: int, part: int = PART, cell: int = CELL) -> DataFrame:
     """(a, b): b the least name that links lead to from the set named a, for sets that are not it themselves.
 
-    ``prints`` has one row per distinct set that is not empty: name, key of a text in ``texts``, size, bits, bands.
+    ``prints`` has one row per distinct set that is not empty: name (a number), key of a text in ``texts``, size,
+    bits, bands.
 
     A bucket gives each set's likeliest partner and ties between likely ones; the parts of a large bucket are
     tied together unseen.  Of all buckets each set's best partner is compared with it by whole sets, which
@@ -307,7 +341,9 @@ def near_sets(texts: DataFrame, prints: DataFrame, words: int, percent: int, par
     """
     buckets = written(_dealt(prints, part))
     order = ["band", "part"]
-    dealt = buckets.select(*order, "name", "size", "bits").repartition(*order).sortWithinPartitions(*order)
+    # The work lies in comparing, not in bytes, so the number of tasks is not left to their size.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = buckets.select(*order, "name", "size", "bits").repartition(tasks, *order).sortWithinPartitions(*order)
     found = written(dealt.mapInArrow(_ties(percent), _TIES_DDL))
     unseen = buckets.where("least IS NOT NULL AND name <> least").select(F.col("name").alias("a"), F.col("least").alias("b"))
     ties = found.select("a", "b").unionByName(unseen)
@@ -320,14 +356,11 @@ def near_sets(texts: DataFrame, prints: DataFrame, words: int, percent: int, par
         .unionByName(groups.select(F.col("b").alias("name"), F.col("b").alias("root")).distinct())
         .join(prints.select("name", "key", "bits"), "name")
     )
-    sets = texts.join(grouped.select("key", "name"), "key").select("name", "text").mapInArrow(
-        _sets(words), "name string, items binary"
-    )
-    sets = written(sets.dropDuplicates(["name"]))
+    sets = written(_sets_of(texts, grouped, words))
     whole = pairs.join(sets.select(F.col("name").alias("a"), F.col("items").alias("left")), "a").join(
         sets.select(F.col("name").alias("b"), F.col("items").alias("right")), "b"
     )
-    first = written(whole.select("a", "b", "left", "right").mapInArrow(_confirm(percent), "a string, b string"))
+    first = written(whole.select("a", "b", "left", "right").mapInArrow(_confirm(percent), "a bigint, b bigint"))
 
     labels = components(first).select(F.col("a").alias("name"), F.col("b").alias("label"))
     labelled = written(grouped.join(labels, "name", "left").withColumn("label", F.coalesce("label", "name")))
@@ -352,8 +385,8 @@ def near_sets(texts: DataFrame, prints: DataFrame, words: int, percent: int, par
         for side, member in ((outsiders, False), (members, True))
     ]
     cells = both[0].unionByName(both[1]).join(sets, "name").select(*place, "member", "label", "name", "bits", "items")
-    cells = cells.repartition(*place).sortWithinPartitions(*place, "member")
-    second = cells.mapInArrow(_compare_cells(percent), "a string, b string")
+    cells = cells.repartition(tasks, *place).sortWithinPartitions(*place, "member")
+    second = cells.mapInArrow(_compare_cells(percent), "a bigint, b bigint")
     return components(first.unionByName(second))
 
 
@@ -383,17 +416,18 @@ def near_duplicates(
     keyed = docs.select(doc_id.alias("doc_id"), key.alias("key"), text.alias("text"))
     prints = written(keyed.mapInArrow(_prints(words), _PRINTS_DDL))
     first = F.first(F.struct("key", "size", "bits", "bands")).alias("one")
-    distinct = prints.where("name IS NOT NULL").groupBy("name").agg(first, F.min("doc_id").alias("least"))
-    distinct = written(distinct.select("name", "one.*", "least"))
-    roots = near_sets(keyed.select("key", "text"), distinct, words, percent, part, cell)
-    rooted = distinct.select("name", "least").join(
+    distinct = prints.where("digest IS NOT NULL").groupBy("digest").agg(first, F.min("doc_id").alias("least"))
+    # Numbered once and written: short names for all that follows.
+    distinct = written(distinct.select(F.monotonically_increasing_id().alias("name"), "digest", "one.*", "least"))
+    roots = near_sets(keyed.select("key", "text"), distinct.drop("digest", "least"), words, percent, part, cell)
+    rooted = distinct.select("name", "digest", "least").join(
         roots.select(F.col("a").alias("name"), F.col("b").alias("root")), "name", "left"
     )
     rooted = written(rooted.withColumn("root", F.coalesce("root", "name")))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(least, "root").select("name", "component_id")
-    component = F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return prints.select("doc_id", "name", "size").join(classes, "name", "left").select(
+    classes = rooted.join(least, "root").select("digest", "component_id")
+    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return prints.select("doc_id", "digest", "size").join(classes, "digest", "left").select(
         "doc_id",
         F.col("size").alias("n_shingles"),
         component.alias("component_id"),
