@@ -125,10 +125,16 @@ def content_differences(left: DataFrame, right: DataFrame, leaf_rows: int = LEAF
     trees = [written(leaves(side, columns, levels)) for side in (left, right)]
     nodes = differing_leaves(*trees, levels)
     counts = [F.lit(1).cast("long"), F.lit(0).cast("long")]
+
+    def in_question(side: DataFrame) -> DataFrame:
+        """The rows of differing leaves; a table of one leaf is compared whole."""
+        if not levels:
+            return side
+        wanted = nodes.withColumnRenamed("node", "_leaf")
+        return side.withColumn("_leaf", leaf_of(columns, levels)).join(wanted, "_leaf", "left_semi")
+
     held = [
-        side.withColumn("_leaf", leaf_of(columns, levels))
-        .join(nodes.withColumnRenamed("node", "_leaf"), "_leaf", "left_semi")
-        .select(*columns, here.alias("left_rows"), there.alias("right_rows"))
+        in_question(side).select(*columns, here.alias("left_rows"), there.alias("right_rows"))
         for side, here, there in ((left, *counts), (right, *reversed(counts)))
     ]
     counted = reduce(DataFrame.unionAll, held).groupBy(*columns).agg(
