@@ -7,6 +7,8 @@ is a plain split.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,23 @@ def unescaped(text: Column) -> Column:
     return text
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is worked out once however often the body's own lambdas use it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(sums: Column) -> Column:
+    """Running sums of an array of numbers; the part summed up doubles each step, so n log n in all."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(sums), F.lit(2)))).cast("int"))
+
+    def doubled(acc: Column, step: Column) -> Column:
+        reach = F.least(F.pow(F.lit(2), step).cast("int"), F.size(acc))
+        ahead = F.concat(F.array_repeat(F.lit(0), reach), F.slice(acc, F.lit(1), F.size(acc) - reach))
+        return F.zip_with(acc, ahead, lambda a, b: a + b)
+
+    return F.aggregate(steps, sums, doubled)
+
+
 def format_conversations(
     turns: DataFrame,
     conversation: str = "conv_id",
@@ -72,34 +91,29 @@ def format_conversations(
             F.coalesce(t["role"] == learned, F.lit(False)).alias("learned"),
         ),
     )
-    # Running length: each turn's text begins where everything before it and its own opening end.
+    # Running length: each turn's text ends where everything up to it, but for what closes it, ends.
     measured = F.transform(
         "turns",
         lambda t: F.struct(
-            F.length(t["open"]).alias("open"),
-            F.length(t["text"]).alias("text"),
-            F.length(t["close"]).alias("close"),
+            (F.length(t["open"]) + F.length(t["text"]) + F.length(t["close"])).alias("whole"),
+            (F.length(t["text"]) + F.length(t["close"])).alias("from_text"),
+            F.length(t["text"]).alias("length"),
             t["learned"].alias("learned"),
         ),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
-    spans = F.aggregate(
+    ended = lambda turns: _running(F.transform(turns, lambda t: t["whole"]))
+    placed = _bound(
         measured,
-        start,
-        lambda acc, t: F.struct(
-            (acc["at"] + t["open"] + t["text"] + t["close"]).alias("at"),
-            F.when(
-                t["learned"],
-                F.concat(
-                    acc["spans"],
-                    F.array(F.struct((acc["at"] + t["open"]).alias("start"), t["text"].alias("length"))),
-                ),
-            )
-            .otherwise(acc["spans"])
-            .alias("spans"),
+        lambda turns: F.zip_with(
+            turns,
+            ended(turns),
+            lambda t, end: F.struct(
+                t["learned"].alias("learned"),
+                F.struct((end - t["from_text"]).alias("start"), t["length"].alias("length")).alias("span"),
+            ),
         ),
-        lambda acc: acc["spans"],
     )
+    spans = F.transform(F.filter(placed, lambda p: p["learned"]), lambda p: p["span"])
     return (
         ordered.withColumn("turns", neighbours)
         .withColumn("turns", pieces)
@@ -114,25 +128,39 @@ def format_conversations(
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """conv_id, turns (role, text) and learned text from the output of ``format_conversations`` alone."""
-    blocks = F.slice(F.split("formatted", END), 1, F.size(F.split("formatted", END)) - 1)
+    """conv_id, turns (role, text) and learned text from the output of ``format_conversations`` alone.
+
+    Spans are cut from the text at four bytes a code point, where any place is reached at once; a formatted text has to
+    stay below 2^29 code points for that.
+    """
+    # The last part, behind the last end, is empty.
+    blocks = _bound(F.split("formatted", END), lambda b: F.slice(b, F.lit(1), F.size(b) - 1))
 
     def turns_of(block: Column) -> Column:
         # The part before the first bracket is empty; the first turn follows the role, the others a "+".
-        parts = F.slice(F.split(block, "\\["), 2, F.length(block))
-        split_at = F.locate("]", parts[0])
-        code = F.substring(parts[0], F.lit(1), split_at - 1)
-        role = F.when(code == "", F.lit(None)).when(code == NO_ROLE, F.lit("")).otherwise(unescaped(code))
-        return F.transform(
-            parts,
-            lambda p: F.struct(
-                role.alias("role"),
-                unescaped(F.substring(p, F.locate("]", p) + 1, F.length(p))).alias("text"),
-            ),
-        )
+        parts = F.filter(F.split(block, "\\["), lambda _, i: i > 0)
+
+        def read(parts: Column) -> Column:
+            code = F.substring_index(parts[0], "]", 1)
+            role = F.when(code == "", F.lit(None)).when(code == NO_ROLE, F.lit("")).otherwise(unescaped(code))
+            return _bound(
+                role,
+                lambda role: F.transform(
+                    parts,
+                    lambda p: F.struct(
+                        role.alias("role"),
+                        unescaped(F.substring(p, F.locate("]", p) + 1, F.length(p))).alias("text"),
+                    ),
+                ),
+            )
 
-    masked = F.transform(
-        "loss_spans", lambda s: unescaped(F.substring("formatted", s["start"] + 1, s["length"]))
+        return _bound(parts, read)
+
+    masked = _bound(
+        F.encode("formatted", "UTF-32"),
+        lambda wide: F.transform(
+            "loss_spans", lambda s: unescaped(F.decode(F.substring(wide, s["start"] * 4 + 1, s["length"] * 4), "UTF-32"))
+        ),
     )
     return formatted.select(
         "conv_id",

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from oreflow.llm.chat_format import format_conversations, read_back
@@ -42,3 +44,40 @@ def test_neighbours_share_a_block(turns):
 
 def test_empty(turns):
     assert format_conversations(turns.limit(0)).count() == 0
+
+
+def by_hand(rows):
+    """Formatted text and loss spans of one conversation's (role, text) rows, in order, plain names and texts only."""
+    text, spans = "", []
+    for i, (role, said) in enumerate(rows):
+        text += f"[{role}]" if i == 0 or rows[i - 1][0] != role else "[+]"
+        if role == "assistant":
+            spans.append((len(text), len(said)))
+        text += said
+        if i + 1 == len(rows) or rows[i + 1][0] != role:
+            text += "</s>"
+    return text, spans
+
+
+@pytest.mark.parametrize("count", [1, 2, 3, 4, 5, 7, 8, 9, 63, 64, 65])
+def test_spans_by_hand(spark, count):
+    rows = [("assistant" if i % 3 else "user", "\U0001f600é" * (i % 5) + str(i)) for i in range(count)]
+    data = [(7, i, *row) for i, row in enumerate(rows)]
+    got = format_conversations(spark.createDataFrame(data, "conv_id long, turn long, role string, text string")).first()
+    assert (got.formatted, [tuple(s) for s in got.loss_spans]) == by_hand(rows)
+
+
+@pytest.mark.parametrize("roles", [["user", "assistant"], ["assistant"], ["user", "user", "assistant", "assistant"]])
+def test_work_grows_with_the_turns(spark, roles):
+    """32,000 turns of one conversation, one block or many: spans and learned text in one pass each."""
+    turns = spark.range(32_000).selectExpr(
+        "1 AS conv_id", "id AS turn",
+        f"array({', '.join(map(repr, roles))})[cast(id % {len(roles)} AS int)] AS role", "'tränslate [this] ' || id AS text",
+    )
+    began = time.perf_counter()
+    got = read_back(format_conversations(turns)).first()
+    taken = time.perf_counter() - began
+    rows = [(roles[i % len(roles)], f"tränslate [this] {i}") for i in range(32_000)]
+    assert [tuple(t) for t in got.turns] == rows
+    assert got.learned == "".join(text for role, text in rows if role == "assistant")
+    assert taken < 20
