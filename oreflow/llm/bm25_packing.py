@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,20 +27,30 @@ _TOKENS = pa.schema(
 )
 
 
-def _tokenize(tokenizer: str, end_id: int, width: str):
+@cache
+def _ranks(vocabulary: int, end_id: int, width: str) -> list[np.ndarray]:
+    """Place of every id in the order of each hash, the end id last; an odd multiplier keeps hashes apart."""
+    ranks = []
+    for multiplier in MULTIPLIERS:
+        mixed = (np.arange(vocabulary, dtype=np.uint64) * np.uint64(multiplier)) & np.uint64(0xFFFFFFFF)
+        mixed[end_id] = 1 << 32
+        rank = np.empty(vocabulary, width)
+        rank[np.argsort(mixed)] = np.arange(vocabulary)
+        ranks.append(rank)
+    return ranks
+
+
+def _tokenize(tokenizer: str, end_id: int, vocabulary: int, width: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = np.dtype(width).itemsize
+        ranks = _ranks(vocabulary, end_id, width)
         for batch in batches:
             words = encoder(tokenizer, end_id)
             for part, texts in slices(batch, "text"):
                 ids, lengths = words.encode(texts)
                 ends = np.cumsum(lengths)
                 starts = ends - lengths
-                least = []
-                for multiplier in MULTIPLIERS:
-                    mixed = (ids.astype(np.uint64) * np.uint64(multiplier)) & np.uint64(0xFFFFFFFF)
-                    mixed[ids == end_id] = 0xFFFFFFFF
-                    least.append(np.minimum.reduceat(mixed, starts).astype(np.int64))
+                least = [np.minimum.reduceat(rank[ids], starts).astype(np.int64) for rank in ranks]
                 raw = ids.astype(width).tobytes()
                 yield as_batch(
                     _TOKENS,
@@ -230,10 +241,12 @@ def pack(
     # Two bytes an id where the vocabulary allows it, on the way and in memory.
     from tokenizers import Tokenizer
 
-    width = "<u2" if max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+    vocabulary = max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1)
+    width = "<u2" if vocabulary <= 1 << 16 else "<u4"
     tokens = written(
         rows.mapInArrow(
-            _tokenize(tokenizer, end_id, width), "doc_id bigint, copy bigint, ids binary, near bigint, near_too bigint"
+            _tokenize(tokenizer, end_id, vocabulary, width),
+            "doc_id bigint, copy bigint, ids binary, near bigint, near_too bigint",
         )
     )
     total = tokens.agg(F.count(F.lit(1)).alias("docs"), (F.sum(F.octet_length("ids")) / np.dtype(width).itemsize).alias("ids")).first()
