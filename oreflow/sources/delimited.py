@@ -159,5 +159,7 @@ def profile_files(spark: SparkSession, root: str, pattern: str = "*.csv") -> Dat
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """Write as delimited text with a header line."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Write as delimited text with a header line; blanks around a value are kept."""
+    df.write.mode("overwrite").options(
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)

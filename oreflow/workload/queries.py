@@ -23,7 +23,7 @@ from oreflow.sources import delimited
 from oreflow.sources.tables import Warehouse, file_ranges, reload
 from oreflow.workload import oracles
 from oreflow.workload.oracles import over
-from oreflow.workload.raw_sources import NEXT, PART_CATEGORIES, RAW, RUN_EVENTS, SOUND, derive, given, raw
+from oreflow.workload.raw_sources import NEXT, ORPHANED, PART_CATEGORIES, RAW, RUN_EVENTS, SOUND, TOO_LARGE, derive, given, raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -805,9 +805,13 @@ def _(spark, sf_dir):
 # -- the whole refresh ---------------------------------------------------------------------------
 
 
+def new_warehouse(spark: SparkSession) -> Warehouse:
+    return Warehouse(spark, f"{scratch_folder(spark)}/warehouse-{uuid.uuid4().hex}")
+
+
 def refreshed(spark: SparkSession, sf_dir: str) -> Refresh:
     """A full refresh over files that pass every check, into a warehouse of its own."""
-    warehouse = Warehouse(spark, f"{scratch_folder(spark)}/warehouse-{uuid.uuid4().hex}")
+    warehouse = new_warehouse(spark)
     run_id, _ = refresh_all(warehouse, as_files(spark, sf_dir, SOUND))
     return Refresh(warehouse, run_id)
 
@@ -843,6 +847,106 @@ def _(spark, sf_dir):
     )
 
 
+_STATE_SQL = ORACLES["refresh_state"]
+
+
+@query("refresh_resumed", _STATE_SQL)
+def _(spark, sf_dir):
+    """The same run in two halves: the second process takes it up behind bronze."""
+    warehouse = new_warehouse(spark)
+    source = as_files(spark, sf_dir, SOUND)
+    first = Refresh.start(warehouse)
+    first.load_bronze(source)
+    first.check_bronze(source)
+    second = Refresh.resume(warehouse, "bronze")
+    second.expect_loaded(BRONZE)
+    second.load_silver()
+    second.check_silver()
+    second.load_gold()
+    second.check_gold()
+    return second.state().where(F.col("run_id") == first.run_id).select(
+        "layer", "step", "status", "validation_status", "rows_read", "rows_written",
+        "referential_integrity", "null_key_check", "duplicate_key_check",
+    )
+
+
+_LACKING = "(SELECT count(*) FROM crm_prd_info WHERE cat_id NOT IN (SELECT id FROM erp_px_cat_g1v2)) > 0"
+
+
+def _checked_step(table: str) -> str:
+    hit = _LACKING if table in ("crm_prd_info", "erp_px_cat_g1v2") else "false"
+    return (
+        f"SELECT 'silver' AS layer, 'silver.load_{table}' AS step, 'SUCCESS' AS status,"
+        f" CASE WHEN {hit} THEN 'FAILED' ELSE 'SUCCESS' END AS validation_status,"
+        f" CASE WHEN {hit} THEN 'FAIL' ELSE 'PASS' END AS referential_integrity,"
+        f" (SELECT count(*) FROM raw_{table}) AS rows_read, (SELECT count(*) FROM {table}) AS rows_written, false AS published"
+    )
+
+
+@query("refresh_stopped_by_checks", over("fact_sales", " UNION ALL ".join(map(_checked_step, SILVER.tables)), ORPHANED))
+def _(spark, sf_dir):
+    """A refresh whose silver checks fail: what the run log says, that nothing of it is published, no gold steps."""
+    warehouse = new_warehouse(spark)
+    for layer in (BRONZE, SILVER, GOLD):
+        warehouse.create_if_absent(layer)
+    try:
+        refresh_all(warehouse, as_files(spark, sf_dir, ORPHANED))
+    except checks.ValidationFailed as stopped:
+        assert stopped.layer == "silver"
+    else:
+        raise AssertionError("the checks let missing categories pass")
+    published = any(not spark.table(f"silver.{t}").isEmpty() for t in warehouse.listed("silver"))
+    return Refresh(warehouse, "").state().where("layer <> 'bronze'").select(
+        "layer", "step", "status", "validation_status", "referential_integrity", "rows_read", "rows_written",
+        F.lit(published).alias("published"),
+    )
+
+
+def _loaded_step(table: str) -> str:
+    broken = "(SELECT count(*) FROM raw_crm_sales_details WHERE sls_quantity = '2000000') > 0" if table == "crm_sales_details" else "false"
+    counted = lambda t: f"CASE WHEN NOT {broken} THEN (SELECT count(*) FROM {t}) END"
+    # The lines that fail are not typed here: that table's own rows are counted only where none fails.
+    written_rows = "raw_crm_sales_details" if table == "crm_sales_details" else table
+    return (
+        f"SELECT 'silver.load_{table}' AS step, CASE WHEN {broken} THEN 'FAILED' ELSE 'SUCCESS' END AS status,"
+        f" CASE WHEN {broken} THEN 'DATA QUALITY' END AS error_class,"
+        f" {counted('raw_' + table)} AS rows_read, {counted(written_rows)} AS rows_written"
+    )
+
+
+@query("refresh_broken_step", over("fact_sales", " UNION ALL ".join(map(_loaded_step, SILVER.tables)), TOO_LARGE))
+def _(spark, sf_dir):
+    """A load that fails on amounts beyond their type: it is logged with its class, the others end."""
+    run = Refresh.start(new_warehouse(spark))
+    run.load_bronze(as_files(spark, sf_dir, TOO_LARGE))
+    try:
+        run.load_silver()
+    except Exception as error:  # logged with its class, which the result shows
+        assert runlog.exception_class(error) == "DATA QUALITY"
+    else:
+        raise AssertionError("amounts beyond their type were loaded")
+    return run.state().where("layer = 'silver'").select("step", "status", "error_class", "rows_read", "rows_written")
+
+
+@query(
+    "layer_listing",
+    over("fact_sales", " UNION ALL ".join(
+        f"SELECT '{layer.name}' AS layer, '{t}' AS \"table\", (SELECT count(*) FROM {'raw_' if layer is BRONZE else ''}{t}) AS rows"
+        for layer in (BRONZE, SILVER, GOLD) for t in layer.tables), SOUND),
+)
+def _(spark, sf_dir):
+    """The tables each layer offers after a refresh, and the rows behind each name."""
+    warehouse = refreshed(spark, sf_dir).warehouse
+    for layer in (BRONZE, SILVER, GOLD):
+        warehouse.create_if_absent(layer)  # leaves what is published
+    listed = [(layer, table) for layer in ("bronze", "silver", "gold") for table in warehouse.listed(layer)]
+    return reduce(DataFrame.unionAll, [
+        spark.table(f"{layer}.{table}").agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(layer).alias("layer"), F.lit(table).alias("table"), "rows")
+        for layer, table in listed
+    ])
+
+
 def refreshed_by_changes(spark: SparkSession, sf_dir: str) -> Incremental:
     """Everything loaded from one extract, then the changed keys of the next."""
     tables = Incremental(spark, f"{scratch_folder(spark)}/incremental-{uuid.uuid4().hex}")
@@ -865,6 +969,22 @@ for _table in RAW:
         over(f"raw_{_table}", oracles.profile(oracles.without_cr(_table), _table, oracles.columns_of(_table))),
     )(lambda spark, sf_dir, table=_table: profile.profile(without_cr(raw(spark, sf_dir, table)), table))
 
+_REPORTED = ["name", "column", "max_length", "min_length", "null_count", "cardinality", "row_count", "top_values", "data_type"]
+
+
+@query(
+    "report_read_back",
+    over("raw_crm_sales_details", "SELECT " + ", ".join(f'cast("{c}" AS string) AS "{c}"' for c in _REPORTED) + " FROM ("
+         + oracles.profile(oracles.without_cr("crm_sales_details"), "crm_sales_details", oracles.columns_of("crm_sales_details"))
+         + ")"),
+)
+def _(spark, sf_dir):
+    """A profile written as a delimited report, as text from the report's files."""
+    path = f"{scratch_folder(spark)}/report-{uuid.uuid4().hex}"
+    delimited.write_report(profile.profile(without_cr(raw(spark, sf_dir, "crm_sales_details")), "crm_sales_details"), path)
+    return spark.read.option("header", True).csv(path).select(*_REPORTED)
+
+
 _MIXED = """SELECT o_orderkey, o_orderstatus, cast(o_orderdate AS date) AS o_orderdate,
        CASE WHEN o_orderkey % 2 = 0 THEN 'True' ELSE 'False' END AS is_even,
        CASE WHEN o_orderkey % 3 = 0 THEN '1' WHEN o_orderkey % 3 = 1 THEN '0' ELSE 'NA' END AS bit,
