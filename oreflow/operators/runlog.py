@@ -8,6 +8,8 @@ is the latest known value of each attribute.
 from __future__ import annotations
 
 import datetime
+import uuid
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException, ParseException, PySparkException
@@ -18,6 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from oreflow.functions.values import elapsed_ms
 from oreflow.operators.checks import ValidationFailed
 from oreflow.schemas import RUN_EVENTS
+from oreflow.session import delete_folder
 
 STARTED, SUCCESS, FAILED = "STARTED", "SUCCESS", "FAILED"
 STEP = ["run_id", "layer", "step"]
@@ -85,11 +88,48 @@ def append(spark: SparkSession, path: str, events: list[dict]) -> None:
     """Add events (dicts over the RUN_EVENTS columns) to the log; their time is now."""
     moment = now()
     rows = pa.Table.from_pylist([{"event_time": moment, **e} for e in events], to_arrow_schema(RUN_EVENTS))
-    spark.createDataFrame(rows, RUN_EVENTS).coalesce(1).write.mode("append").parquet(path)
+    append_rows(spark.createDataFrame(rows, RUN_EVENTS).coalesce(1), path)
+
+
+APPENDED, COMPACTED = "append-", "compact-"
+
+
+def append_rows(events: DataFrame, path: str) -> None:
+    """Add events, which state their time, to the log; columns that they lack are unknown.
+
+    Every append has a folder of its own: two that ran in one folder would share its ``_temporary``, and the first
+    to finish would delete what the other has not yet put in place.
+    """
+    known = [F.col(f.name) if f.name in events.columns else F.lit(None).alias(f.name) for f in RUN_EVENTS]
+    rows = events.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(known, RUN_EVENTS)])
+    rows.write.parquet(f"{path}/{APPENDED}{uuid.uuid4().hex}")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_EVENTS).parquet(path)
+    return spark.read.schema(RUN_EVENTS).option("recursiveFileLookup", True).parquet(path)
+
+
+def compact(spark: SparkSession, path: str) -> int:
+    """Rewrite the log's files as few large ones; returns how many were replaced.
+
+    Appends may go on meanwhile: exactly the files that were listed are read, and only these are deleted, after
+    their events are in place again.  Whoever reads in between, or after a compaction that died, meets
+    events twice, which changes no state; the next compaction keeps one of each.  A reader that has
+    listed a file before it is deleted fails rather than miss it, as does a second compaction of the same files.
+    """
+    listed = read(spark, path)
+    files = listed.inputFiles()
+    if len(files) < 2:
+        return 0
+    listed.distinct().write.parquet(f"{path}/{COMPACTED}{uuid.uuid4().hex}")
+    for file in files:
+        delete_folder(spark, unquote(file))
+    # What an append has left besides; a compaction's folder may still be filling up.
+    folders = {unquote(file).rpartition("/")[0] for file in files}
+    for folder in folders:
+        if folder.rpartition("/")[2].startswith(APPENDED) and read(spark, folder).inputFiles() == []:
+            delete_folder(spark, folder)
+    return len(files)
 
 
 def current_state(events: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -56,29 +57,38 @@ def _whole_file(file_path: Column) -> Column:
     return F.regexp_replace(file_path, "([.][^./]+)/part-[^/]*$", "$1")
 
 
+def _decoded(file_path: Column) -> Column:
+    """A path as it is on disk, from the percent-encoded form that Spark gives, which may leave out an empty host."""
+    path = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(path, "^([^:/]+):///", "$1:/")
+
+
 def _file_path() -> Column:
-    """The path of a row's file as it is on disk; the metadata column has it percent-encoded."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file_path")
+    return _decoded(F.col("_metadata.file_path")).alias("file_path")
 
 
 def discover(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
-    """Every matching file below ``root`` with its table name; contents are not read.
+    """Every matching file below ``root`` with its length and table name; contents are not read.
 
-    Spark does not list files of zero bytes: their tables count as missing.
+    Spark's scans leave out files of zero bytes, but its file index names them: they are listed with length 0.
     """
     files = (
-        spark.read.format("binaryFile")
-        .options(recursiveFileLookup=True, pathGlobFilter=pattern)
-        .load(root)
-        .select(_file_path(), F.col("length"))
+        spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=pattern).load(root)
+    )
+    scanned = files.select(_file_path(), F.col("length"))
+    indexed = spark.createDataFrame(pa.table({"_encoded": pa.array(files.inputFiles(), pa.string())}))
+    named = indexed.select(_decoded(F.col("_encoded")).alias("file_path"))
+    return (
+        named.join(scanned, "file_path", "left")
+        .withColumn("length", F.coalesce("length", F.lit(0).cast("bigint")))
+        .withColumn("table", table_name(F.col("file_path")))
     )
-    return files.withColumn("table", table_name(F.col("file_path")))
 
 
 def source_line_counts(
     spark: SparkSession, root: str, pattern: str = "*.csv", fields: Mapping[str, int] | None = None
 ) -> DataFrame:
-    """Lines per non-empty file without the header, as (file_path, table, rows, malformed).
+    """Lines per file without the header, as (file_path, table, rows, malformed); a file of zero bytes has none.
 
     Counts raw lines, blank and malformed ones included, so it also catches what a parser
     skips.  Large files are counted split by split.  ``malformed`` are the blank lines and those that do not
@@ -95,28 +105,41 @@ def source_line_counts(
         .agg(F.count(F.lit(1)).alias("_lines"))
     )
     # From here on there is one row per file and width, so names are worked out on few rows.
-    named = lines.select(
-        F.url_decode(F.replace("_encoded", F.lit("+"), F.lit("%2B"))).alias("file_path"), "_width", "_lines"
-    ).withColumn("table", table_name(F.col("file_path")))
+    named = lines.select(_decoded(F.col("_encoded")).alias("file_path"), "_width", "_lines").withColumn(
+        "table", table_name(F.col("file_path"))
+    )
     expected = F.lit(None).cast("int")
     for table, count in (fields or {}).items():
         expected = F.when(F.col("table") == table, count).otherwise(expected)
     wrong = F.when(expected.isNotNull(), F.when(F.col("_width") != expected, F.col("_lines")).otherwise(0))
-    return named.groupBy("file_path", "table").agg(
+    counted = named.groupBy("file_path", "table").agg(
         (F.sum("_lines") - 1).alias("rows"), F.sum(wrong).cast("bigint").alias("malformed")
     )
+    none = F.lit(0).cast("bigint")
+    empty = (
+        discover(spark, root, pattern)
+        .where("length = 0")
+        .select("file_path", "table", none.alias("rows"), F.when(expected.isNotNull(), none).alias("malformed"))
+    )
+    return counted.unionByName(empty)
 
 
-def tables_found(spark: SparkSession, root: str, pattern: str = "*.csv") -> dict[str, list[str]]:
+def tables_found(
+    spark: SparkSession, root: str, pattern: str = "*.csv", with_content: bool = False
+) -> dict[str, list[str]]:
     """The tables below ``root``, each with one path pattern per folder that has it.
 
+    ``with_content`` leaves out tables all of whose files are of zero bytes.
+
     Reading by pattern leaves the listing of files to Spark; filtering rows by their file's name
     would evaluate the naming rule once per row.  Part files count as the folder that holds them.
     """
     whole = _whole_file(F.col("file_path"))
+    files = discover(spark, root, pattern)
+    if with_content:
+        files = files.where("length > 0")
     found = (
-        discover(spark, root, pattern)
-        .select(
+        files.select(
             "table",
             (whole != F.col("file_path")).alias("in_parts"),
             F.regexp_extract(whole, "^(.*)/([^/]*)$", 1).alias("folder"),
@@ -147,11 +170,11 @@ def profile_files(spark: SparkSession, root: str, pattern: str = "*.csv") -> Dat
     """One row per table and column below ``root``.
 
     Unlike the raw scan this reads quotes and CRLF as the format means them, and takes the
-    columns from the header.
+    columns from the header.  Files of zero bytes have no columns to report.
     """
     reports = [
         profile(spark.read.option("header", True).csv(paths), table)
-        for table, paths in tables_found(spark, root, pattern).items()
+        for table, paths in tables_found(spark, root, pattern, with_content=True).items()
     ]
     if not reports:
         raise ValueError(f"no {pattern} below {root}")

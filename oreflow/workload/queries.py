@@ -715,6 +715,28 @@ def _(spark, sf_dir):
     return delimited.source_line_counts(spark, as_files(spark, sf_dir, RAW)).groupBy("table").agg(F.sum("rows").alias("rows"))
 
 
+@query(
+    "empty_files",
+    over("raw_erp_px_cat_g1v2", " UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", count(*) AS rows, 1 AS folders FROM raw_{t}"
+        f" UNION ALL SELECT '{t}_none', 0, 1" for t in RAW)),
+)
+def _(spark, sf_dir):
+    """Beside each table's file one of zero bytes: found as a table without rows, loaded by its schema."""
+    root = as_files(spark, sf_dir, RAW)
+    for table in RAW:
+        nothing = spark.createDataFrame([], "line string").coalesce(1)
+        nothing.write.csv(f"{root}/{file_of(table).removesuffix('.csv')}_none.csv")
+    found = delimited.tables_found(spark, root)
+    loaded = [
+        delimited.read_delimited(spark, paths, BRONZE.tables[table.removesuffix("_none")])
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(table).alias("table"), "rows", F.lit(len(paths)).alias("folders"))
+        for table, paths in found.items()
+    ]
+    return reduce(DataFrame.unionAll, loaded)
+
+
 def as_uneven_files(spark: SparkSession, sf_dir: str) -> str:
     """Write the raw tables as files in which a line, by its length, gains a field, loses its last one or is blank."""
     root = f"{scratch_folder(spark)}/files-{uuid.uuid4().hex}"
@@ -1155,6 +1177,18 @@ WHERE layer = '{_layer}' AND batch_start = (
     )(lambda spark, sf_dir, layer=_layer: runlog.latest_run(run_state(spark, sf_dir), layer))
 
 
+@query("run_state_compacted", over("run_state", "SELECT * FROM run_state"))
+def _(spark, sf_dir):
+    """The state told by a log that was appended to before and after it was compacted, some events twice."""
+    path = f"{scratch_folder(spark)}/log-{uuid.uuid4().hex}"
+    events = derive(spark, sf_dir, RUN_EVENTS)
+    for layer in ("bronze", "silver", "bronze"):
+        runlog.append_rows(events.where(F.col("layer") == layer), path)
+    assert runlog.compact(spark, path) > 1
+    runlog.append_rows(events.where("layer = 'gold'"), path)
+    return runlog.current_state(runlog.read(spark, path)).select(*run_state(spark, sf_dir).columns)
+
+
 @query("failed_steps", over("run_state", "SELECT * FROM run_state WHERE status <> 'SUCCESS'"))
 def _(spark, sf_dir):
     return runlog.unfinished(run_state(spark, sf_dir))

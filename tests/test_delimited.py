@@ -37,7 +37,28 @@ def test_discovery_names_tables_after_folder_and_file(spark, tmp_path):
     put(tmp_path / "plain", "note.txt", b"a\n")
     put(tmp_path / "a_b_c", "empty.csv", b"")
     counts = {r["table"]: r["rows"] for r in delimited.source_line_counts(spark, str(tmp_path)).collect()}
-    assert counts == {"erp_loc_a101": 0, "crm_cust_info": 2, "plain_x.y": 0}  # a file of zero bytes has no table
+    assert counts == {"erp_loc_a101": 0, "crm_cust_info": 2, "plain_x.y": 0, "b_c_empty": 0}
+
+
+def test_a_file_of_zero_bytes_is_an_empty_table(spark, tmp_path):
+    put(tmp_path / "s_crm", "x y+1%.csv", b"")
+    put(tmp_path / "s_crm", "y.csv", b"")
+    put(tmp_path / "t_crm", "y.csv", b"a,b\n1,2\n")
+    found = delimited.tables_found(spark, str(tmp_path))
+    assert {t: len(paths) for t, paths in found.items()} == {"crm_x y+1%": 1, "crm_y": 2}
+    assert delimited.read_delimited(spark, found["crm_x y+1%"], TWO).isEmpty()
+    assert [tuple(r) for r in delimited.read_delimited(spark, found["crm_y"], TWO).collect()] == [("1", "2")]
+    counts = delimited.source_line_counts(spark, str(tmp_path), fields={"crm_y": 2})
+    got = sorted((r["table"], r["rows"], r["malformed"]) for r in counts.collect())
+    assert got == [("crm_x y+1%", 0, None), ("crm_y", 0, 0), ("crm_y", 1, 0)]
+    assert {r["table"] for r in delimited.discover(spark, str(tmp_path)).where("length = 0").collect()} == {"crm_x y+1%", "crm_y"}
+    assert {r["name"] for r in delimited.profile_files(spark, str(tmp_path)).collect()} == {"crm_y"}
+
+
+def test_a_folder_without_files_has_no_tables(spark, tmp_path):
+    put(tmp_path / "s_crm", "note.txt", b"a\n")
+    assert delimited.tables_found(spark, str(tmp_path)) == {}
+    assert delimited.source_line_counts(spark, str(tmp_path)).isEmpty()
 
 
 def test_bronze_schemas_are_all_text():

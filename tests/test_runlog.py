@@ -1,4 +1,5 @@
 import datetime
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,3 +79,53 @@ def test_append_adds_without_touching_what_is_there(spark, tmp_path):
     runlog.append(spark, path, [{"run_id": "r", "layer": "bronze", "step": "s", "status": "FAILED"}])
     assert runlog.read(spark, path).count() == 2
     assert runlog.current_state(runlog.read(spark, path)).first()["status"] == "FAILED"
+
+
+def known(step, status="STARTED"):
+    return {"run_id": "r", "layer": "bronze", "step": step, "status": status}
+
+
+def steps_of(spark, path):
+    return sorted(r["step"] for r in runlog.current_state(runlog.read(spark, path)).collect())
+
+
+def test_compaction_keeps_every_event_and_few_files(spark, tmp_path):
+    path = str(tmp_path / "lo g%")
+    for n in range(6):
+        runlog.append(spark, path, [known(f"s{n}"), known("both", "SUCCESS" if n == 5 else "STARTED")])
+    before = sorted(map(str, runlog.read(spark, path).collect()))
+    assert runlog.compact(spark, path) == 6
+    assert sorted(map(str, runlog.read(spark, path).collect())) == before
+    assert len(runlog.read(spark, path).inputFiles()) == 1 and len(list((tmp_path / "lo g%").iterdir())) == 1
+    assert runlog.compact(spark, path) == 0
+
+
+def test_appends_during_a_compaction_are_kept(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for n in range(3):
+        runlog.append(spark, path, [known(f"early{n}")])
+    with ThreadPoolExecutor(4) as pool:
+        late = [pool.submit(runlog.append, spark, path, [known(f"late{n}")]) for n in range(9)]
+        while not all(f.done() for f in late):
+            runlog.compact(spark, path)
+        [f.result() for f in late]
+    runlog.compact(spark, path)
+    assert steps_of(spark, path) == [f"early{n}" for n in range(3)] + [f"late{n}" for n in range(9)]
+    assert runlog.read(spark, path).count() == 12
+
+
+def test_a_compaction_that_died_changes_no_state(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "log")
+    for n in range(3):
+        runlog.append(spark, path, [known(f"s{n}")])
+
+    def die(*_):
+        raise OSError("no")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(runlog, "delete_folder", die)
+        with pytest.raises(OSError):
+            runlog.compact(spark, path)
+    assert runlog.read(spark, path).count() == 6 and steps_of(spark, path) == ["s0", "s1", "s2"]
+    runlog.compact(spark, path)
+    assert runlog.read(spark, path).count() == 3 and steps_of(spark, path) == ["s0", "s1", "s2"]
