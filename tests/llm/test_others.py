@@ -39,6 +39,31 @@ def test_search(spark, block, query_block):
     assert va_search.top_products(df.limit(0)).count() == 0
 
 
+def test_exact_vectors_are_read_only_where_a_bound_asks(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=24).tolist()) for i in range(1200)]
+    vectors = spark.createDataFrame(rows, "vec_id long, vector array<double>")
+    classes = va_search._classes(vectors, 5)
+    asked = vectors.where("vec_id % 100 = 0")
+    scanned = va_search.open_classes(asked, classes, 5, 256, 8).collect()
+    read = {q: {r["class"] for r in scanned if r["query_id"] == q} for q in range(0, 1200, 100)}
+    assert all(5 <= len(c) <= 40 for c in read.values())
+    id_of = {r["class"]: r["members"][0]["vec_id"] for r in classes.collect()}
+    for q, _, v, _ in brute_top(rows, 5, 100):
+        assert v in {id_of[c] for c in read[q]}
+
+
+def test_copies_of_a_vector_are_one_class(spark):
+    rng = np.random.default_rng(6)
+    hot = rng.normal(size=8).tolist()
+    rows = [(i, hot if i % 3 else rng.normal(size=8).tolist()) for i in range(900)] + [(0, hot)] * 4 + [(50, hot)] * 9
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = va_search.top_products(vectors, block=64, query_block=4)
+    assert sorted(map(tuple, got.collect())) == brute_top(rows, 5, 50)
+    classes = va_search._classes(vectors.select("vec_id", F.col("embedding").alias("vector")), 5)
+    assert classes.count() == 301 and classes.selectExpr("max(size(members))").first()[0] == 6
+
+
 def test_large_products_are_exact():
     assert va_search.products(np.array([2.0**40, 1.0]), np.array([[2.0**20, 1.0]])) == [2**60 + 1]
 
