@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from oreflow.operators import dates, frequent, sketches
 
@@ -77,3 +78,19 @@ def test_one_value_settles_day_and_month(rows):
     settled = dates.date_formats(rows([*open_, ("25/12/2024",), ("soon",)], "v string")).first()
     assert settled.formats == "d/M/yyyy" and not settled.ambiguous and settled.mostly and (settled.dates, settled["values"]) == (3, 4)
     assert (settled.first, settled.last) == (datetime.date(2024, 4, 3), datetime.date(2024, 12, 25))
+
+
+def test_a_value_is_matched_once_per_shape_and_read_as_by_its_format(rows):
+    texts = [
+        "2024-02-29", "2023-02-29", "2024-2-9", "2024-02-29 23:59:59", "2024-02-29 24:00:00", "20240229", "20241301", "0000-01-01",
+        "12/31/2024", "31/12/2024", "13/13/2024", "1.2.2024", "31.02.2024", "3 Mar 2024", "Mar 3, 2024", "Mai 3, 2024", "30 Feb 2024",
+        "2024-02-29\n", "1.2.2024\n", "2024-02-29 ", "20240229\n", " 2024-02-29", "soon", "", "99999999", "1900-02-29",
+    ]
+    for text in texts:
+        want = rows([(text,)], "v string").select(*[dates.date_by(F.col("v"), n).alias(n) for n in dates.FORMATS]).first().asDict()
+        got = dates.date_formats(rows([(text,)], "v string")).first()
+        read = [n for n, day in want.items() if day is not None]
+        assert got.formats == (dates.SEVERAL.join(read) or None), text
+        assert got.first == (want[read[0]] if len(read) == 1 else None), text
+    plan = dates.date_formats(rows([("a", "b")], "v string, w string"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("RLIKE") <= 2 * len(dates.SHAPES) and "regexp_extract" not in plan
