@@ -79,3 +79,19 @@ def test_reconcile_and_key_difference(rows):
     diff = {(r["k"], r["outcome"]) for r in reconcile.key_set_difference(a, b, ["k"]).collect()}
     assert diff == {("y", "ONLY_LEFT"), ("z", "ONLY_RIGHT")}
     assert reconcile.key_set_difference(a, a, ["k"]).isEmpty()
+
+
+def test_a_key_nothing_refers_to_is_counted_as_it_is(rows):
+    layer = Layer(
+        "l", {"a": table(k=INT, p=text(3)), "b": table(p=text(3))}, {"a": ("k", "p"), "b": ("p",)}, (Reference("a", "p", "b", "p"),)
+    )
+    tables = {"a": rows([(1, "x"), (1, "x"), (None, "y"), (None, "y"), (2, None), (1, "xx")], "k int, p string"),
+              "b": rows([("x",), ("x",), (None,), (None,)], "p string")}
+    report = checks.key_checks(layer, tables)
+    found = {(r["check"], r["table"], r["columns"]): r["violations"] for r in report.collect()}
+    assert found == {
+        ("duplicate_key", "a", "k,p"): 2, ("duplicate_key", "b", "p"): 2, ("reference", "a", "a.p->b.p"): 4,
+    }
+    assert "Aggregate [k#" in report._jdf.queryExecution().optimizedPlan().toString()
+    alone = Layer("l", {"b": table(p=text(3))}, {"b": ("p",)})
+    assert [tuple(r) for r in checks.key_checks(alone, tables).collect()] == [("duplicate_key", "b", None, "p", 2)]

@@ -27,3 +27,17 @@ def test_group_stats_of_several_keys(spark):
     assert got.columns == ["k", "none", "v", "n", "top"]
     assert {(r["k"], r["n"], r["top"]) for r in got.collect()} == {(k or None, 100, 396 + k) for k in range(4)}
     assert got.count() == 400
+
+
+def test_rows_with_a_value_are_not_shuffled(spark, tmp_path):
+    ids = spark.range(2000)
+    day = F.when(F.col("id") % 10 > 0, F.date_add(F.lit(D(2020, 1, 1)), F.col("id").cast("int")))
+    ids.select("id", (F.col("id") % 500).alias("grp"), day.alias("day")).write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    filled = fill_from_siblings(df, "grp", "day", "filled")
+    plan = filled._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Union" and "Join" not in plan.children().apply(0).toString()
+    got = {r["id"]: r for r in filled.collect()}
+    assert len(got) == 2000 and filled.columns == [*df.columns, "filled"]
+    assert all(r["filled"] == r["day"] for r in got.values() if r["day"])
+    assert all(r["filled"] is None for r in got.values() if r["id"] % 10 == 0)
