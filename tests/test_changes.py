@@ -5,10 +5,14 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType
 
 from oreflow.operators import changes
 from oreflow.plans.incremental import Incremental
-from oreflow.workload.raw_sources import NEXT, SOUND, derive
+from oreflow.schemas import table
+from oreflow.session import written
+from oreflow.sources.buckets import BucketTable
+from oreflow.workload.raw_sources import CHANGES, NEXT, SOUND, changed as by_changes, derive
 
 SF = "/root/testdata/sf0.001"
 
@@ -83,3 +87,46 @@ def test_refresh_of_changes_ends_like_a_full_one(spark, tmp_path):
     assert touched.keys["erp_cust_az12"] == 0 and touched.buckets["erp_cust_az12"] == []
     assert 0 < len(touched.buckets["dim_customer"]) < 32 and 0 < touched.keys["crm_cust_info"] < 20
     assert tables.refresh(raw[1]).buckets == {t: [] for t in touched.buckets}
+
+
+def test_replacing_moves_new_rows_only_until_files_are_many(spark, rows, tmp_path, monkeypatch):
+    """Kept rows are neither written twice nor shuffled; a bucket in many small files is put together."""
+    ddl, schema = "k long, v string", table(k=LongType(), v=StringType())
+    kept = BucketTable(spark, str(tmp_path / "t"), schema, lambda: F.col("k"), buckets=4)
+    kept.create(rows([(i, "old") for i in range(400)] + [(None, "old"), (None, "old")], ddl))
+    moved = []
+
+    def noted(df):
+        out = written(df)
+        moved.append(out.count())
+        return out
+
+    monkeypatch.setattr("oreflow.sources.buckets.written", noted)
+    want = {i: "old" for i in range(400)}
+    for turn in range(3):
+        keys = [turn, 100 + turn, None]
+        fresh = [(turn, f"new{turn}"), (None, f"none{turn}")]
+        moved.clear()
+        kept.replace(rows([(k,) for k in keys], "key long"), rows(fresh, ddl))
+        assert moved == [2]
+        want[turn] = f"new{turn}"
+        del want[100 + turn]
+        assert Counter(map(tuple, kept.read().collect())) == Counter([*want.items(), (None, f"none{turn}")])
+    many = len(files(kept.path))
+    monkeypatch.setattr("oreflow.sources.buckets.MOST_FILES", 1)
+    everywhere = rows([(k,) for k in range(3, 40)], "key long")
+    kept.replace(everywhere, rows([(3, "last")], ddl))
+    assert len(files(kept.path)) <= 5 < many
+    assert Counter(r.k for r in kept.read().collect()) == Counter([k for k in want if not 3 < k < 40] + [None])
+    # The last rows of a bucket leave.
+    all_keys = kept.read().select(F.col("k").alias("key")).distinct().collect()
+    kept.replace(rows([tuple(r) for r in all_keys], "key long"), rows([], ddl))
+    assert kept.read().count() == 0
+
+
+def test_the_next_extract_by_its_changes_is_the_one_by_its_text(spark):
+    extract = {t: derive(spark, SF, sql, {"lineitem": "l_orderkey"}) for t, sql in SOUND.items()}
+    for name, df in extract.items():
+        following = by_changes(df, CHANGES[name]) if name in CHANGES else df
+        for got, text in ((df, SOUND[name]), (following, NEXT[name])):
+            assert Counter(map(tuple, got.collect())) == Counter(map(tuple, derive(spark, SF, text).collect())), name
