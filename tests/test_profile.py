@@ -1,5 +1,12 @@
+import threading
+from collections import Counter
+
+from pyspark.sql import DataFrameWriter
+
 from oreflow.operators import profile
+from oreflow.schemas import BRONZE
 from oreflow.sources import delimited
+from oreflow.workload import queries
 
 
 def by_column(df):
@@ -52,3 +59,34 @@ def test_profile_of_files(spark, tmp_path):
     delimited.write_report(profile.with_headings(report), out)
     back = spark.read.option("header", True).csv(out)
     assert back.columns == list(profile.HEADINGS.values()) and back.count() == 3
+
+
+def test_cells_are_counted_under_a_number(rows):
+    data = [("a", None, "NULL"), ("a", "a", ""), ("b", "a", " "), (None, "1", "a"), ("a", "a", "a")]
+    df = rows(data, "v string, `column` string, n string")
+    counts = profile.value_counts(df)
+    want = Counter((c, None if r[i] in profile.NULL_TOKENS else r[i]) for r in data for i, c in enumerate(df.columns))
+    got = Counter()
+    for r in counts.collect():
+        got[r["column"], r["value"]] += r["n"]
+    assert +got == want and {c for c, _ in got} == set(df.columns)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_place#" in plan and "Expand" not in plan
+
+
+def test_raw_files_are_written_together(spark, monkeypatch):
+    texts = {t: queries.RAW[t] for t in ("erp_loc_a101", "erp_cust_az12", "crm_cust_info")}
+    together = threading.Barrier(len(texts), timeout=60)
+    write = DataFrameWriter.csv
+
+    def csv(self, path, *args, **kwargs):
+        together.wait()
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "csv", csv)
+    root = queries.as_files(spark, "/root/testdata/sf0.001", texts)
+    found = delimited.tables_found(spark, root)
+    assert set(found) == set(texts)
+    for table, paths in found.items():
+        expected = queries.raw(spark, "/root/testdata/sf0.001", table).count()
+        assert delimited.read_delimited(spark, paths, BRONZE.tables[table]).count() == expected
