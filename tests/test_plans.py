@@ -10,8 +10,12 @@ from oreflow.operators.fill import fill_from_siblings
 from oreflow.operators.profile import profile
 from oreflow.operators.survivors import survivors
 from oreflow.operators.versions import chain_end_dates, version_join
-from oreflow.plans import gold
-from oreflow.schemas import Reference
+from oreflow.plans import gold, silver
+from oreflow.plans.incremental import Incremental
+from oreflow.plans.refresh import Refresh
+from oreflow.schemas import GOLD, SILVER, Reference
+from oreflow.session import sized, written
+from oreflow.sources.tables import Warehouse
 from oreflow.workload.queries import QUERIES, written_silver
 
 SF = "/root/testdata/sf0.001"
@@ -150,3 +154,101 @@ def test_a_hot_group_is_split(spark, large_tables):
     out = fill_from_siblings(hot(spark), "key", "day", "filled")
     assert "SortMergeJoin(skew=true)" in executed(out)
     assert out.where("filled IS NULL").isEmpty()
+
+
+@pytest.fixture
+def low_limit(spark):
+    """A limit for broadcasts that files of some 10,000 rows keep and their rows exceed."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "400KB")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_side_is_broadcast_by_its_rows_not_by_its_files(spark, low_limit):
+    facts = spark.range(1_000_000)
+    few_values = spark.range(20_000).select((F.col("id") % 3).alias("id"), F.lit("x").alias("v"))
+    stored = written(few_values)
+    assert "BroadcastHashJoin" in planned(facts.join(stored, "id"))
+    assert "SortMergeJoin" in planned(facts.join(sized(stored).where("id < 9").withColumnRenamed("v", "w"), "id"))
+    assert "BroadcastHashJoin" in planned(facts.join(sized(written(few_values.limit(100))), "id"))
+    assert "BroadcastHashJoin" in planned(facts.join(sized(written(few_values.limit(0))), "id"))
+    rows = facts.join(sized(stored), "id").groupBy("id").count()
+    assert sorted(map(tuple, rows.collect())) == [(0, 6667), (1, 6667), (2, 6666)]
+
+
+def many_people(spark, n=20_000):
+    """Raw extracts of ``n`` customers and as many categories, with one product and one order line each."""
+    ids = spark.range(n).select(F.col("id").cast("string").alias("n"), F.lpad(F.col("id").cast("string"), 8, "0").alias("k"))
+    key, code = F.concat(F.lit("AW"), "k"), F.lpad("n", 5, "0")
+    return {
+        "crm_cust_info": ids.select(
+            F.col("n").alias("cst_id"), key.alias("cst_key"), F.lit("a").alias("cst_firstname"), F.lit("b").alias("cst_lastname"),
+            F.lit("M").alias("cst_marital_status"), F.lit("F").alias("cst_gndr"), F.lit("2025-10-01").alias("cst_create_date"),
+        ),
+        "crm_prd_info": ids.select(
+            F.col("n").alias("prd_id"), F.concat(code, F.lit("-P"), "n").alias("prd_key"), F.lit("p").alias("prd_nm"),
+            F.lit("2").alias("prd_cost"), F.lit("M").alias("prd_line"), F.lit("2020-01-01").alias("prd_start_dt"), F.lit("").alias("prd_end_dt"),
+        ),
+        "crm_sales_details": ids.select(
+            F.concat(F.lit("SO"), "n").alias("sls_ord_num"), F.concat(F.lit("P"), "n").alias("sls_prd_key"), F.col("n").alias("sls_cust_id"),
+            *[F.lit("20210101").alias(c) for c in ("sls_order_dt", "sls_ship_dt", "sls_due_dt")],
+            *[F.lit("2").alias(c) for c in ("sls_sales", "sls_quantity", "sls_price")],
+        ),
+        "erp_cust_az12": ids.select(key.alias("cid"), F.lit("1980-06-15").alias("bdate"), F.lit("F").alias("gen")),
+        "erp_loc_a101": ids.select(key.alias("cid"), F.lit("DE").alias("cntry")),
+        "erp_px_cat_g1v2": ids.select(code.alias("id"), F.lit("c").alias("cat"), F.lit("s").alias("subcat"), F.lit("No").alias("maintenance")),
+    }
+
+
+@pytest.fixture
+def gold_plans(monkeypatch):
+    """The plans of the gold tables as a load builds them, in order."""
+    plans = []
+
+    def noted(build):
+        def built(*given):
+            out = build(*given)
+            plans.append((build.__name__, planned(out)))
+            return out
+        return built
+
+    for name in ("dim_customer", "dim_product", "fact_sales"):
+        monkeypatch.setattr(gold, name, noted(getattr(gold, name)))
+    return plans
+
+
+def test_changes_do_not_broadcast_large_tables_of_small_files(spark, low_limit, gold_plans, tmp_path):
+    raw = {t: written(df) for t, df in many_people(spark).items()}
+    tables = Incremental(spark, str(tmp_path / "t"), buckets=2)
+    tables.first(raw)
+    moved = F.when(F.col("cid") == "AW00000007", "FR").otherwise(F.col("cntry"))
+    touched = tables.refresh({**raw, "erp_loc_a101": raw["erp_loc_a101"].withColumn("cntry", moved)})
+    assert touched.keys["dim_customer"] == 1
+    assert [name for name, _ in gold_plans] == ["dim_customer", "dim_product", "fact_sales"] * 2
+    for name, plan in gold_plans[:3]:
+        assert "SortMergeJoin" in plan and ("BroadcastExchange" not in plan or name == "fact_sales"), name
+    # The tables looked up in are as large as before; the keys that rows are chosen by are few, and still broadcast.
+    assert "LeftSemi" in gold_plans[3][1] and gold_plans[3][1].count("BroadcastExchange") == 1
+    lives = tables.gold("dim_customer").read().groupBy("country_of_residence").count()
+    assert sorted(map(tuple, lives.collect())) == [("France", 1), ("Germany", 19_999)]
+    assert tables.gold("fact_sales").read().where("product_id IS NOT NULL").count() == 20_000
+
+
+def test_a_full_refresh_does_not_broadcast_large_tables_of_small_files(spark, low_limit, gold_plans, tmp_path):
+    run = Refresh(Warehouse(spark, str(tmp_path / "wh")), "run-1")
+    for name, df in many_people(spark).items():
+        run.warehouse.write(SILVER, name, silver.TABLES[name](df), run.run_id)
+    run.load_gold()
+    for name, plan in gold_plans[:2]:
+        assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan, name
+    people = run.warehouse.read(GOLD, "dim_customer", run.run_id)
+    assert people.where("country_of_residence = 'Germany' AND birth_date IS NOT NULL").count() == 20_000
+    assert run.warehouse.read(GOLD, "fact_sales", run.run_id).where("product_id IS NOT NULL").count() == 20_000
+
+
+def test_a_hot_group_of_rows_without_a_value_is_split(spark, large_tables):
+    """Rows with a value meet no join, so it is among the others that a hot group has to be split."""
+    lacking = F.when(F.col("key") == 7, F.col("id") % 5 > 0).otherwise(F.col("id") % 7 == 1)
+    out = fill_from_siblings(hot(spark).withColumn("day", F.when(~lacking, F.col("day"))), "key", "day", "filled")
+    assert "SortMergeJoin(skew=true)" in executed(out)
+    assert out.where("day IS NULL").count() > 16_000 and out.where("filled IS NULL").isEmpty()
